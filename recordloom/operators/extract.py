@@ -207,13 +207,22 @@ def _parsed(docs: DataFrame, body: str) -> DataFrame:
     return vx.with_json(docs, body, "__doc").filter(F.col("__doc").isNotNull())
 
 
+def _cell(items: Column, as_json: bool) -> Column:
+    return F.to_json(items) if as_json else items
+
+
 def malformed(docs: DataFrame, body: str = "body") -> DataFrame:
     """Records whose body is not JSON; the complement of the extracts."""
     return vx.with_json(docs, body, "__doc").filter(F.col("__doc").isNull()).drop("__doc")
 
 
-def lo_records(docs: DataFrame, body: str = "body", file: str = "file") -> DataFrame:
-    """Learning-opportunity documents to flat rows."""
+def lo_records(
+    docs: DataFrame, body: str = "body", file: str = "file", outcomes_as_json: bool = True
+) -> DataFrame:
+    """Learning-opportunity documents to flat rows.
+
+    The outcome list is JSON text as in the CSV form, or stays an array.
+    """
     d = F.col("__doc")
     return _parsed(docs, body).select(
         F.col(file).alias("file"),
@@ -221,12 +230,16 @@ def lo_records(docs: DataFrame, body: str = "body", file: str = "file") -> DataF
         provider_country(d).alias("countryCode.prefLabel"),
         lo_level(d).alias("EQFLevel.prefLabel"),
         lo_summary(d).alias("learningOutcomeSummary.noteLiteral"),
-        F.to_json(ox.lo_outcomes(d)).alias("learningOutcome"),
+        _cell(ox.lo_outcomes(d), outcomes_as_json).alias("learningOutcome"),
     )
 
 
 def qual_records(
-    docs: DataFrame, body: str = "body", file: str = "file", with_entry: bool = False
+    docs: DataFrame,
+    body: str = "body",
+    file: str = "file",
+    with_entry: bool = False,
+    outcomes_as_json: bool = True,
 ) -> DataFrame:
     """Qualification documents to flat rows; `entryRequirement` on request."""
     d = F.col("__doc")
@@ -236,7 +249,7 @@ def qual_records(
         publisher_country(d).alias("country"),
         qual_level(d).alias("qualificationLevel"),
         qual_summary(d).alias("description"),
-        F.to_json(ox.qual_outcomes(d)).alias("learningOutcomes"),
+        _cell(ox.qual_outcomes(d), outcomes_as_json).alias("learningOutcomes"),
         *entry,
         F.col(file).alias("sourceFile"),
     )

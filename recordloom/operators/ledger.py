@@ -313,14 +313,23 @@ def recent_rows(
     by: Sequence[str] = ("country", "status"),
     limit: int = RECENT_LIMIT,
 ) -> DataFrame:
-    """Last `limit` rows per group.
+    """Last `limit` rows per group, with their age (1 = newest).
 
-    The rank filter is applied before the shuffle too, so each task sends at
-    most `limit` rows of a group however large the group is.
+    The limit is applied before the shuffle too, so each task sends at most
+    `limit` rows of a group however large the group is. Spark does that by itself
+    up to its window-group limit; beyond it, groups are first cut in slices.
     """
-    newest = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
-    ranked = log.withColumn("age", F.row_number().over(newest).cast("bigint"))
-    return ranked.filter(F.col("age") <= limit)
+    newest = [F.col(c).desc() for c in order]
+
+    def ranked(df: DataFrame, *parts: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*newest))
+        return df.withColumn("age", rank.cast("bigint")).filter(F.col("age") <= limit)
+
+    threshold = int(log.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if limit > threshold:
+        sliced = log.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(256)))
+        log = ranked(sliced, *by, "__slice").drop("__slice", "age")
+    return ranked(log, *by)
 
 
 def stall_gaps(
