@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from recordloom.constants import NOTE_SEMICOLON, PARAGRAPH, TITLE_DASH, WS, WS_CHARS
 from recordloom.functions import text as tx
 from recordloom.functions import variants as vx
-from recordloom.functions.variants import let
+from recordloom.functions.text import let
 
 _NO_ITEMS = "cast(array() as array<struct<title:string,notes:string>>)"
 
@@ -27,12 +27,10 @@ def note_texts(doc: Column, body: Column) -> Column:
         many = vx.array_at(n, "$.noteLiteral")
         as_list = F.transform(
             many,
-            lambda x, k: vx.label_text(
-                x, F.get_json_object(body, F.concat(path, F.lit("["), k.cast("string"), F.lit("]")))
-            ),
+            lambda x, k: vx.label_text(x, vx.json_at(body, F.format_string("%s[%d]", path, k))),
         )
         return F.when(many.isNotNull(), as_list).otherwise(
-            F.array(vx.label_text(literal, F.get_json_object(body, path)))
+            F.array(vx.label_text(literal, vx.json_at(body, path)))
         )
 
     def per_outcome(lo: Column, i: Column) -> Column:

@@ -6,13 +6,14 @@ expressions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from recordloom.constants import (
     ENTITIES,
     FILLER_PHRASES,
-    LINE_END,
     LINE_START,
     WS,
     WS_BODY,
@@ -20,6 +21,11 @@ from recordloom.constants import (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times in `body`."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -60,8 +66,11 @@ def decode_entities(c: Column) -> Column:
 
 # An opening brace takes the word after it along; braces, control characters,
 # U+FFFD and white space all become the same single space. The quantifiers are
-# possessive, so long runs need no regex stack.
-_NOISE_RUN = rf"(?:\{{{WS}*+[A-Za-z0-9_-]*+|[{{}}\x00-\x1F\x7F\uFFFD{WS_BODY}]++)++"
+# possessive, so long runs need no regex stack. A lone space is left alone: it is
+# its own replacement, and by far the most frequent run.
+_NOISE = rf"[{{}}\x00-\x1F\x7F\uFFFD{WS_BODY}]"
+_BRACE_WORD = rf"\{{{WS}*+[A-Za-z0-9_-]*+"
+_NOISE_RUN = rf"(?: (?={_NOISE})|(?! ){_NOISE}(?<!\{{)|{_BRACE_WORD})(?:{_BRACE_WORD}|{_NOISE}(?<!\{{))*+"
 
 
 def strip_html(c: Column) -> Column:
@@ -76,25 +85,32 @@ def strip_html(c: Column) -> Column:
 # --- markers and labels --------------------------------------------------
 
 
+# A first-character test stands before every costlier look-behind.
+_ENUMERATION = rf"(?=[\d{WS_BODY}]){LINE_START}{WS}*\d+[).]{WS}+"
+
+
 def strip_enumeration(c: Column) -> Column:
     """Remove "1) " or "2. " at line starts, with blank lines before it."""
-    return F.regexp_replace(c, rf"{LINE_START}{WS}*\d+[).]{WS}+", "")
+    return F.regexp_replace(c, _ENUMERATION, "")
 
 
 # Labels dropped at the start of a text or line, then anywhere.
 _LINE_LABELS = "Title|Titles|Learning Outcome|LearningOutcome|Notes|Note"
 _INLINE_LABELS = "Title|Notes|Note|Learning Outcome|LearningOutcome"
+_LINE_LABEL = rf"{WS}*(?i:{_LINE_LABELS}){WS}*[:\-\u2014]{WS}*"
+_INLINE_LABEL = rf"(?=[TtNnLl])(?<![A-Za-z0-9_])(?i:{_INLINE_LABELS}){WS}*:{WS}*"
 
 
 def strip_labels(c: Column) -> Column:
     """Remove "Title:", "Notes -" and the like, then strip HTML."""
     c = F.replace(c, F.lit("\uFFFD"), F.lit(" "))
-    c = F.regexp_replace(c, rf"(?i)(^|\n){WS}*(?:{_LINE_LABELS}){WS}*[:\-\u2014]{WS}*", "$1")
-    c = F.regexp_replace(c, rf"(?i)(?<![A-Za-z0-9_])(?:{_INLINE_LABELS}){WS}*:{WS}*", "")
+    c = F.regexp_replace(c, rf"\A{_LINE_LABEL}", "")
+    c = F.regexp_replace(c, rf"\n{_LINE_LABEL}", "\n")
+    c = F.regexp_replace(c, _INLINE_LABEL, "")
     return strip_html(c)
 
 
-BULLET = rf"(?i){LINE_START}[ \t]*(?:\d+[.)][ \t]+|[a-z][.)][ \t]+|\([a-z]\)[ \t]+|[-\u2022][ \t]*)"
+BULLET = r"(?imd)^[ \t]*(?:\d+[.)][ \t]+|[a-z][.)][ \t]+|\([a-z]\)[ \t]+|[-\u2022][ \t]*)"
 
 
 def strip_bullets(c: Column) -> Column:
@@ -113,8 +129,8 @@ def phrase_pattern(phrases: list[str]) -> str:
 
 FILLER = phrase_pattern(FILLER_PHRASES)
 CONTACT = (
-    rf"{LINE_START}[ \t]*(?:[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}"
-    rf"|\+?[0-9][0-9 ()./-]{{5,}}[0-9])[ \t]*{LINE_END}"
+    r"(?md)^[ \t]*(?:[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+    r"|\+?[0-9][0-9 ()./-]{5,}[0-9])[ \t]*$"
 )
 
 
@@ -124,8 +140,10 @@ def find_all(c: Column, pattern: str) -> Column:
 
 def strip_filler(c: Column) -> Column:
     """Remove the filler phrases; a text of nothing else becomes empty."""
-    left = F.regexp_replace(c, FILLER, "")
-    return F.when((left != c) & (trim_ws(left) == ""), "").otherwise(left)
+    return let(
+        F.regexp_replace(c, FILLER, ""),
+        lambda left: F.when((left != c) & (trim_ws(left) == ""), "").otherwise(left),
+    )
 
 
 def removed_filler(c: Column) -> Column:
@@ -148,19 +166,22 @@ def removed_bullets(c: Column) -> Column:
 # --- predicates ----------------------------------------------------------
 
 
+# A bare number, "n/a" forms, dashes, or punctuation only.
+_SAYS_NOTHING = (
+    rf"\A(?:\d+\.?|(?i:n{WS}*/{WS}*a|na(?:{WS}+na)?|n{WS}*a|none)|[-\u2013\u2014]+"
+    rf"|[\p{{P}}\p{{S}}{WS_BODY}]+)\z"
+)
+
+
 def is_garbage(c: Column) -> Column:
     """Text that says nothing: too short, a bare number, n/a forms, punctuation."""
-    t = trim_ws(or_empty(c))
-    # Length counts UTF-16 units, so one character beyond the BMP counts twice.
-    too_short = (F.length(t) < 2) | (
-        (F.length(t) == 2) & ~t.rlike(r"[\x{10000}-\x{10FFFF}]")
-    )
-    return (
-        too_short
-        | t.rlike(r"\A\d+\.?\z")
-        | t.rlike(rf"(?i)\A(?:n{WS}*/{WS}*a|na(?:{WS}+na)?|n{WS}*a|none|[-\u2013\u2014]+)\z")
-        | t.rlike(rf"\A[\p{{P}}\p{{S}}{WS_BODY}]+\z")
-    )
+
+    def test(t: Column) -> Column:
+        # Length counts UTF-16 units, so one character beyond the BMP counts twice.
+        short = (F.length(t) == 2) & ~t.rlike(r"[\x{10000}-\x{10FFFF}]")
+        return (F.length(t) < 2) | short | t.rlike(_SAYS_NOTHING)
+
+    return let(trim_ws(or_empty(c)), test)
 
 
 def is_filled(c: Column, null_words: tuple[str, ...] = ()) -> Column:

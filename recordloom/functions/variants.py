@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.functions.text import let
+
 # Fixed value: closes the array a text is wrapped in before parsing. The parser
 # ignores what follows a complete value; if the mark is not found at index 1,
 # the text was not exactly one JSON value.
 _END = "\u241Eend"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once and use it several times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _wrapped(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
 
@@ -42,6 +37,17 @@ def with_json(df: DataFrame, text_col: str, out: str) -> DataFrame:
     )
 
 
+def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns.
+
+    The optimizer moves a plain filter below the projection that computes its
+    inputs, which then are computed twice (a whole JSON parse, for instance).
+    Here every row yields itself or nothing, after its columns are known.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.when(condition, F.array(row))))
+
+
 def kind(v: Column) -> Column:
     """STRING, BIGINT, BOOLEAN, VOID, ARRAY<..>, OBJECT<..>; NULL when absent."""
     return F.schema_of_variant(v)
@@ -101,6 +107,11 @@ def scalar_text(v: Column) -> Column:
     return F.when(~kind(v).rlike("^(?:ARRAY|OBJECT|VOID)"), F.try_variant_get(v, "$", "string"))
 
 
+def json_at(body: Column, path: Column) -> Column:
+    """JSON text at a path that is itself computed."""
+    return F.call_function("get_json_object", body, path)
+
+
 def first_filled(*options: Column) -> Column:
     return F.coalesce(*options, F.lit(""))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import text as tx
-from recordloom.functions.variants import let
+from recordloom.functions.text import let
 
 TEXT_COLUMNS = ("description", "learningOutcomes")
 MISSING = "Missing required fields in response"

@@ -203,8 +203,11 @@ def page_facts(pages: DataFrame, payload: str = "payload") -> DataFrame:
 # --- whole records ----------------------------------------------------------
 
 
-def _parsed(docs: DataFrame, body: str) -> DataFrame:
-    return vx.with_json(docs, body, "__doc").filter(F.col("__doc").isNotNull())
+def _rows(docs: DataFrame, body: str, *columns: Column) -> DataFrame:
+    """Columns of every well-formed document."""
+    parsed = vx.with_json(docs, body, "__doc")
+    valid = F.col("__doc").isNotNull().alias("__valid")
+    return vx.keep_rows(parsed.select(*columns, valid), F.col("__valid")).drop("__valid")
 
 
 def _cell(items: Column, as_json: bool) -> Column:
@@ -213,7 +216,7 @@ def _cell(items: Column, as_json: bool) -> Column:
 
 def malformed(docs: DataFrame, body: str = "body") -> DataFrame:
     """Records whose body is not JSON; the complement of the extracts."""
-    return vx.with_json(docs, body, "__doc").filter(F.col("__doc").isNull()).drop("__doc")
+    return vx.keep_rows(vx.with_json(docs, body, "__doc"), F.col("__doc").isNull()).drop("__doc")
 
 
 def lo_records(
@@ -224,7 +227,9 @@ def lo_records(
     The outcome list is JSON text as in the CSV form, or stays an array.
     """
     d = F.col("__doc")
-    return _parsed(docs, body).select(
+    return _rows(
+        docs,
+        body,
         F.col(file).alias("file"),
         vx.text_at(d, "$.title", "").alias("title"),
         provider_country(d).alias("countryCode.prefLabel"),
@@ -244,7 +249,9 @@ def qual_records(
     """Qualification documents to flat rows; `entryRequirement` on request."""
     d = F.col("__doc")
     entry = [entry_requirement(d).alias("entryRequirement")] if with_entry else []
-    return _parsed(docs, body).select(
+    return _rows(
+        docs,
+        body,
         vx.first_filled(vx.filled_at(d, "$.title")).alias("qualificationName"),
         publisher_country(d).alias("country"),
         qual_level(d).alias("qualificationLevel"),
@@ -267,7 +274,9 @@ def multilingual_records(
     """
     d = F.col("__doc")
     raw = F.col(body)
-    flat = _parsed(docs, body).select(
+    flat = _rows(
+        docs,
+        body,
         vx.text_at(d, "$.title", "").alias("title"),
         F.coalesce(deep_country(d, raw), F.col(folder)).alias("country"),
         multilingual_level(d, raw).alias("qualificationLevel"),
@@ -276,7 +285,7 @@ def multilingual_records(
         record_uri(d).alias("uri"),
     )
     if require_outcome:
-        flat = flat.filter(F.size("notes") > 0)
+        flat = vx.keep_rows(flat, F.size("notes") > 0)
     return flat.select(
         "title",
         "country",

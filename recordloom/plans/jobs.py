@@ -19,6 +19,7 @@ from recordloom.constants import (
 )
 from recordloom.functions import outcomes as ox
 from recordloom.functions import text as tx
+from recordloom.functions import variants as vx
 from recordloom.operators import cleaner, extract, ledger, quality
 from recordloom.operators.quality import name
 
@@ -40,7 +41,7 @@ def _lo_columns(df: DataFrame, notes: Column) -> DataFrame:
         quality.first_present(
             df, "learningOutcomeSummary.noteLiteral", "learningOutcomeSummary_noteLiteral"
         ).alias("learningOutcomeSummary.noteLiteral"),
-        tx.strip_enumeration(notes).alias("learningOutcome_additionalNote"),
+        notes.alias("learningOutcome_additionalNote"),
     )
 
 
@@ -51,20 +52,20 @@ def lo_dataset(docs: DataFrame, markers_per_note: bool = False) -> DataFrame:
     start of each line of the joined text.
     """
     flat = extract.lo_records(docs, outcomes_as_json=False)
-    kept = flat.filter(quality.all_filled(LO_TEXT) & (F.size("learningOutcome") > 0))
+    kept = vx.keep_rows(flat, quality.all_filled(LO_TEXT) & (F.size("learningOutcome") > 0))
     notes = F.transform(
         F.flatten(F.transform("learningOutcome", lambda x: x["additionalNote"])), tx.trim_ws
     )
     if markers_per_note:
         notes = F.transform(notes, tx.strip_enumeration)
     joined = F.array_join(F.filter(notes, lambda t: t != ""), NOTE_SEMICOLON)
-    return _lo_columns(kept, joined)
+    return _lo_columns(kept, joined if markers_per_note else tx.strip_enumeration(joined))
 
 
 def lo_rows(flat: DataFrame) -> DataFrame:
     """Flat text rows (outcomes as JSON text) to the same result."""
     kept = quality.complete_rows(flat, LO_REQUIRED)
-    return _lo_columns(kept, ox.notes_text(F.col("learningOutcome")))
+    return _lo_columns(kept, tx.strip_enumeration(ox.notes_text(F.col("learningOutcome"))))
 
 
 # --- qualifications ---------------------------------------------------------
@@ -89,7 +90,7 @@ def qual_dataset(docs: DataFrame) -> DataFrame:
     """Documents (`file, body`) to complete, clean qualification rows."""
     flat = extract.qual_records(docs, outcomes_as_json=False)
     filled = quality.all_filled(QUAL_TEXT, ("null",)) & (F.size("learningOutcomes") > 0)
-    kept = quality.drop_columns(flat.filter(filled), "sourceFile")
+    kept = quality.drop_columns(vx.keep_rows(flat, filled), "sourceFile")
     items = F.transform(
         "learningOutcomes",
         lambda x: F.struct(x["title"].alias("title"), x["additionalNotes"].alias("notes")),

@@ -127,13 +127,13 @@ def read_index(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, D
         F.regexp_extract("file", INDEX_FILE, 1).cast("int").alias("level"),
         vx.array_at(F.col("v"), "$").alias("uris"),
     )
-    uris = parsed.filter(F.col("uris").isNotNull()).select(
+    uris = parsed.select(
         "file", "level", F.posexplode("uris").alias("pos", "v")
     )
     good = uris.select(
         "file", "level", "pos", F.when(vx.is_text(F.col("v")), vx.text_at(F.col("v"), "$")).alias("uri")
     )
-    return good, parsed.filter(F.col("uris").isNull()).select("file", "level")
+    return good, vx.keep_rows(parsed, F.col("uris").isNull()).select("file", "level")
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
