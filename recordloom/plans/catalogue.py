@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordloom.plans import record_queries, text_queries  # noqa: F401
+from recordloom.plans import ledger_queries, record_queries, text_queries  # noqa: F401
 from recordloom.plans.registry import ORACLES, QUERIES, Query
 
 __all__ = ["ORACLES", "QUERIES", "Query"]
