@@ -110,7 +110,7 @@ def strip_labels(c: Column) -> Column:
     return strip_html(c)
 
 
-BULLET = r"(?imd)^[ \t]*(?:\d+[.)][ \t]+|[a-z][.)][ \t]+|\([a-z]\)[ \t]+|[-\u2022][ \t]*)"
+BULLET = r"(?md)^[ \t]*(?:\d+[.)][ \t]+|[a-z][.)][ \t]+|\([a-z]\)[ \t]+|[-\u2022][ \t]*)"
 
 
 def strip_bullets(c: Column) -> Column:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from recordloom.plans import ledger_queries, record_queries, text_queries  # noqa: F401
+from recordloom.plans import (  # noqa: F401
+    ledger_queries,
+    record_queries,
+    storage_queries,
+    text_queries,
+)
 from recordloom.plans.registry import ORACLES, QUERIES, Query
 
 __all__ = ["ORACLES", "QUERIES", "Query"]

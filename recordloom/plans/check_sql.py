@@ -60,7 +60,7 @@ def strip_enumeration(x: str) -> str:
 
 
 BULLET = (
-    r"(?im)^[ \t]*(?:\d+[.)][ \t]+|[a-z][.)][ \t]+|\([a-z]\)[ \t]+|[\-\x{2022}][ \t]*)"
+    r"(?m)^[ \t]*(?:\d+[.)][ \t]+|[a-z][.)][ \t]+|\([a-z]\)[ \t]+|[\-\x{2022}][ \t]*)"
 )
 CONTACT = (
     r"(?m)^[ \t]*(?:[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"

@@ -356,13 +356,13 @@ def country_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH cells AS (SELECT DISTINCT country, level FROM ({ad.LIST_ITEMS_SQL})),
           n AS (SELECT country, level, count(*) AS lines FROM ({ad.LIST_ITEMS_SQL}) WHERE uri IS NOT NULL GROUP BY ALL)
         SELECT country, level, coalesce(lines, 0) AS lines, coalesce(lines, 0) // 10 * 10 AS "from"
-        FROM cells LEFT JOIN n USING (country, level) WHERE level % 2 = 0""",
+        FROM cells LEFT JOIN n USING (country, level) WHERE coalesce(lines, 0) < 30""",
 )
 def open_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = ad.list_items(spark, sf_dir)
     cells = items.select("country", "level").distinct()
-    done = cells.filter("level % 2 = 1")
     stored = items.filter("uri IS NOT NULL")
+    done = stored.groupBy("country", "level").count().filter("count >= 30")
     return jobs.open_requests(cells, done, stored, ["country", "level"])
 
 

@@ -445,7 +445,7 @@ def _boilerplate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cleaned_sql(x: str) -> str:
+def cleaned_sql(x: str) -> str:
     return q.sub(q.sub(f"({q.strip_filler(x)})", q.CONTACT, ""), q.BULLET, "")
 
 
@@ -455,7 +455,7 @@ _TODO = f"""SELECT doc_id, {_BOILERPLATE} AS d, '1) ' || text AS lo FROM documen
 
 @query(
     "cleaned_rows",
-    f"""SELECT doc_id, {_cleaned_sql('d')} AS description, {_cleaned_sql('lo')} AS "learningOutcomes"
+    f"""SELECT doc_id, {cleaned_sql('d')} AS description, {cleaned_sql('lo')} AS "learningOutcomes"
         FROM ({_TODO})""",
 )
 def cleaned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,7 +463,7 @@ def cleaned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.cleaned_with_audit(_boilerplate_rows(spark, sf_dir), "doc_id", done)[0]
 
 
-def _removed_sql(x: str) -> str:
+def removed_sql(x: str) -> str:
     filler = f"({q.strip_filler(x)})"
     contacts = q.sub(filler, q.CONTACT, "")
     parts = [q.find_all(x, q.FILLER), q.find_all(filler, q.CONTACT), q.find_all(contacts, q.BULLET)]
@@ -472,8 +472,8 @@ def _removed_sql(x: str) -> str:
 
 @query(
     "cleaning_audit",
-    f"""SELECT doc_id, length(d) AS original_length, {_cleaned_sql('d')} AS cleaned,
-               {_removed_sql('d')} AS removed, {_removed_sql('lo')} AS outcomes_removed
+    f"""SELECT doc_id, length(d) AS original_length, {cleaned_sql('d')} AS cleaned,
+               {removed_sql('d')} AS removed, {removed_sql('lo')} AS outcomes_removed
         FROM ({_TODO})""",
 )
 def cleaning_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.operators import ledger
 
@@ -51,12 +52,12 @@ def first_seen_stream(
     """
     spark = stream.sparkSession
     schema = stream.schema
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        earlier = session.read.schema(schema.simpleString()[7:-1] + ",batch:bigint").parquet(out)
-        earlier = earlier.filter(F.col("batch") < batch_id)
+        stored = batch.sparkSession.read.schema(with_batch).parquet(out)
+        earlier = stored.filter(F.col("batch") < batch_id)
         fresh = ledger.first_seen(batch, key, order, scope)
         fresh = ledger.skip_done(fresh, earlier, [*scope, key])
         fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
