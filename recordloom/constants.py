@@ -10,9 +10,6 @@ WS_CHARS = (
 WS_BODY = r"\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
 WS = f"[{WS_BODY}]"
 
-# Start of a line, with the line terminators of ECMAScript.
-LINE_START = r"(?<![^\n\r\u2028\u2029])"
-
 # Entities decoded, in this order (so "&amp;lt;" ends as "<").
 ENTITIES = [
     ("&amp;", "&"),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from recordloom.constants import (
     ENTITIES,
     FILLER_PHRASES,
-    LINE_START,
     WS,
     WS_BODY,
     WS_CHARS,
@@ -85,8 +84,9 @@ def strip_html(c: Column) -> Column:
 # --- markers and labels --------------------------------------------------
 
 
-# A first-character test stands before every costlier look-behind.
-_ENUMERATION = rf"(?=[\d{WS_BODY}]){LINE_START}{WS}*\d+[).]{WS}+"
+# A line starts after any ECMAScript line terminator, also between CR and LF;
+# Java's own `^` knows one terminator more (U+0085) and skips the CR LF case.
+_ENUMERATION = rf"(?m)(?:^(?<!\u0085)|\n(?<=\r\n)){WS}*\d+[).]{WS}+"
 
 
 def strip_enumeration(c: Column) -> Column:

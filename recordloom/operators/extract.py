@@ -68,9 +68,10 @@ def deep_country(doc: Column, body: Column) -> Column:
         values = F.when(is_list, F.from_json(text, "array<variant>")).otherwise(
             F.map_values(F.from_json(text, "map<string,variant>"))
         )
+        # A branch whose text lacks the key cannot hold a label.
         pairs = F.filter(
             F.arrays_zip(values.alias("v"), texts.alias("t")),
-            lambda p: vx.kind(p["v"]).rlike("^(?:ARRAY|OBJECT)"),
+            lambda p: p["t"].contains("countryCode") & vx.kind(p["v"]).rlike("^(?:ARRAY|OBJECT)"),
         )
         nodes = F.transform(pairs, lambda p: _node(p["v"], p["t"]))
         return F.coalesce(nodes.cast(_NODES), F.expr(f"cast(array() as {_NODES})"))
@@ -94,7 +95,8 @@ def deep_country(doc: Column, body: Column) -> Column:
     start = F.array(_node(doc, body)).cast(_NODES)
     nodes = F.aggregate(F.sequence(F.lit(1), F.greatest(openings, F.lit(1))), start, step)
     found = F.get(F.filter(nodes, lambda n: n["label"].isNotNull()), F.lit(0))["label"]
-    return F.when(body.contains("countryCode"), found)
+    # The raw text may spell the key with escapes.
+    return F.when(body.contains("countryCode") | body.contains("\\u"), found)
 
 
 # --- other fields -----------------------------------------------------------

@@ -30,22 +30,15 @@ def countries(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c,) for c in COUNTRY_CODES], "country string")
 
 
-def levels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in LEVELS], "level int")
-
-
 def wanted_countries(df: DataFrame, wanted: str | None, column: str = "country") -> DataFrame:
     """Restrict to a comma list (any case, blanks ignored); an empty list keeps all."""
     names = [w.strip().upper() for w in (wanted or "").split(",") if w.strip()]
     return df.filter(F.col(column).isin(names)) if names else df
 
 
-def work_grid(countries_df: DataFrame, levels_df: DataFrame | None = None) -> DataFrame:
-    """Every country with every level (8 rows per country)."""
-    if levels_df is not None:
-        return countries_df.join(levels_df)
-    level = F.explode(F.array(*[F.lit(n) for n in LEVELS])).alias("level")
-    return countries_df.select("*", level)
+def work_grid(countries_df: DataFrame) -> DataFrame:
+    """Every country with every level: eight rows per country, without a join."""
+    return countries_df.select("*", F.explode(F.array(*map(F.lit, LEVELS))).alias("level"))
 
 
 def page_offsets(grid: DataFrame, last_offset: Column, size: int = PAGE_SIZE) -> DataFrame:
@@ -261,6 +254,9 @@ def running_number(
         F.col("__part").alias("__g__part"),
         (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__lo") + 1).alias("__shift"),
     )
+    if not groups:
+        # One row per task of the numbering.
+        offsets = F.broadcast(offsets)
     same = F.col("__part") == F.col("__g__part")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
@@ -282,8 +278,13 @@ def numbered_pages(
 
 
 def page_of(df: DataFrame, order: Sequence[str], offset: int, size: int = PAGE_SIZE) -> DataFrame:
-    """One result page."""
-    return df.orderBy(*order).offset(offset).limit(size)
+    """One result page. A far page is found by number, since a sorted limit would
+    bring all rows before it to the driver."""
+    if offset + size <= MAX_PAGES_PER_CELL:
+        return df.orderBy(*order).offset(offset).limit(size)
+    rn = F.col("__rn")
+    on_page = (rn > offset) & (rn <= offset + size)
+    return running_number(df, order, (), "__rn").filter(on_page).drop("__rn")
 
 
 def shard_rows(

@@ -10,9 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from recordloom.operators import ledger
+from recordloom.functions import text as tx
 
 
 def list_item_stream(
@@ -46,24 +45,29 @@ def first_seen_stream(
 ) -> None:
     """Keep the first row per (scope, key) over all batches and reruns.
 
-    The stored rows are the state. Each batch is reduced to its first rows with
-    map-side combining, checked against the rows of earlier batches, and written
-    to its own folder, which a repeated batch overwrites.
+    The keys seen are state, so a batch costs what the batch holds. It is reduced
+    to one row per key before the shuffle, however often a key is repeated. A key
+    is new if its first and its latest batch are the same. Every batch writes its
+    own folder, which a repeated batch overwrites.
     """
-    spark = stream.sparkSession
-    schema = stream.schema
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")
+    firsts = (
+        stream.filter(tx.or_empty(F.col(key).cast("string")) != "")
+        .withColumn("__arrived", F.current_timestamp())
+        .groupBy(*scope, key)
+        .agg(
+            F.min_by(F.struct(*stream.columns), F.struct(*order)).alias("__row"),
+            F.min("__arrived").alias("__first"),
+            F.max("__arrived").alias("__latest"),
+        )
+    )
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.read.schema(with_batch).parquet(out)
-        earlier = stored.filter(F.col("batch") < batch_id)
-        fresh = ledger.first_seen(batch, key, order, scope)
-        fresh = ledger.skip_done(fresh, earlier, [*scope, key])
+        fresh = batch.filter(F.col("__first") == F.col("__latest")).select("__row.*")
         fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     query = (
-        stream.writeStream.foreachBatch(keep_new)
+        firsts.writeStream.outputMode("update")
+        .foreachBatch(keep_new)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

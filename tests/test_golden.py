@@ -32,7 +32,8 @@ CASES = {
     }),
     "strip_enumeration": (tx.strip_enumeration, {
         "1) a\n 2. b\n\n3) c ; 4) d": "a\nb\nc ; 4) d", "a) x": "a) x", "1.5 hours": "1.5 hours",
-        "2020. Text": "Text", "1) 2) x": "2) x", "a\r\n1) b": "a\rb", None: None,
+        "2020. Text": "Text", "1) 2) x": "2) x", "a\r\n1) b": "a\rb", "a\r\n\r\n 1) b": "a\rb", "a\u00851) b": "a\u00851) b",
+        "a\u20281) b": "a\u2028b", "a\r1) b": "a\rb", None: None,
     }),
     "strip_labels": (tx.strip_labels, {
         "Title: A\nNote - b": "A b", "Title: A  Notes: b": "A b", "See note: x": "See x",

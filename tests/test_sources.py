@@ -153,3 +153,5 @@ def test_append_and_split(spark, tmp_path):
 
 def test_pages(spark):
     assert [r.id for r in ledger.page_of(spark.range(30), ["id"], 20, 5).collect()] == list(range(20, 25))
+    far = ledger.page_of(spark.range(30_000), ["id"], 29_990, 20).collect()
+    assert {r.id for r in far} == set(range(29_990, 30_000))
