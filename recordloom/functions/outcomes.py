@@ -90,13 +90,13 @@ def qual_outcomes(doc: Column) -> Column:
 _REPAIRS = [
     (rf"([\[{{,]{WS}*)'([^']+)'({WS}*[:,\]}}])", '$1"$2"$3'),
     (rf":{WS}*'([^']*)'", ': "$1"'),
-    (rf'"?([a-zA-Z0-9_]+)"?{WS}*:', '"$1":'),
+    (rf'"?+(?<![a-zA-Z0-9_])([a-zA-Z0-9_]++)"?+{WS}*+:', '"$1":'),
 ]
 
 # Patterns that find titles and notes in a cell beyond repair.
-_TITLE = rf"""(?i)["']?title["']?{WS}*:{WS}*["']([^"']+)["']"""
+_TITLE = rf"""(?i)title["']?{WS}*:{WS}*["']([^"']+)["']"""
 _NOTE = (
-    rf"""(?i)["']?(?:additionalNote|additionalNotes|noteLiteral)["']?{WS}*:{WS}*["']([^"']*)["']"""
+    rf"""(?i)(?:additionalNotes?|noteLiteral)["']?{WS}*:{WS}*["']([^"']*)["']"""
 )
 _BLOCK_TITLE = rf"""title[^:]*:{WS}*["']([^"']+)["']"""
 _BLOCK_NOTE = rf"""additionalNote[^:]*:{WS}*["']([^"']*)["']"""

@@ -168,16 +168,19 @@ def completed_cells(
     pages: DataFrame,
     cell: Sequence[str] = ("country", "level"),
     max_pages: int = MAX_PAGES_PER_CELL,
+    size: int = PAGE_SIZE,
 ) -> DataFrame:
     """A cell is complete after an empty page, its last page, or the page cap.
 
-    Input: the facts per page (`readable`, `n_items`, `page_number`, `page_count`).
+    Input: the facts per page (`from`, `readable`, `n_items`, `page_number`,
+    `page_count`).
     """
     empty = F.col("readable") & (F.col("n_items") == 0)
     last = F.coalesce(F.col("page_number") >= F.col("page_count"), F.lit(False))
     return pages.groupBy(*cell).agg(
         F.count("*").alias("pages"),
         F.sum("n_items").cast("bigint").alias("items"),
+        (F.max("from") + size).cast("bigint").alias("next_from"),
         (F.bool_or(empty | last) | (F.count("*") >= max_pages)).alias("completed"),
     )
 

@@ -7,7 +7,7 @@ The `*_rows` functions take flat text rows, for data that is already in CSV.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.constants import (
@@ -22,6 +22,7 @@ from recordloom.functions import text as tx
 from recordloom.functions import variants as vx
 from recordloom.operators import cleaner, extract, ledger, quality
 from recordloom.operators.quality import name
+from recordloom.sources import readers, writers
 
 LO_TEXT = [c for c in LO_REQUIRED if c != "learningOutcome"]
 QUAL_TEXT = [c for c in QUAL_REQUIRED if c != "learningOutcomes"]
@@ -167,3 +168,56 @@ def open_requests(
     return ledger.resume_offsets(todo, stored, cell, size).filter(
         F.col("from") < size * MAX_PAGES_PER_CELL
     )
+
+
+def crawl_ledger(pages: DataFrame, cell: list[str], size: int = PAGE_SIZE) -> DataFrame:
+    """State of every cell from its captured pages (`cell, from, payload`):
+    pages, items, first-seen items, offset to go on from, complete or not."""
+    state = ledger.completed_cells(extract.page_facts(pages), cell, size=size)
+    fresh = listed_items(pages, cell, courses_only=True).groupBy(*cell)
+    counts = fresh.agg(F.count("*").alias("new_items"))
+    return state.join(counts, cell, "left").fillna(0, ["new_items"])
+
+
+# --- from files to files --------------------------------------------------------
+
+
+def lo_files_to_csv(spark: SparkSession, folder: str, out: str) -> None:
+    """A folder of learning-opportunity documents to CSV, quotes where needed."""
+    docs = readers.read_documents(spark, folder, recursive=False)
+    writers.write_csv(lo_dataset(docs.withColumn("file", F.col("name"))), out)
+
+
+def qual_files_to_csv(
+    spark: SparkSession, folder: str, out: str, rows_per_file: int | None = None
+) -> None:
+    """A tree of qualification documents to CSV, every cell quoted."""
+    docs = readers.read_documents(spark, folder)
+    writers.write_csv(qual_dataset(docs), out, quote_all=True, rows_per_file=rows_per_file)
+
+
+def multilingual_files_to_csv(
+    spark: SparkSession, root: str, out: str, require_outcome: bool = True
+) -> None:
+    """Folders named by country, with multilingual documents, to CSV."""
+    docs = readers.read_documents(spark, f"{root}/*", recursive=False)
+    rows = extract.multilingual_records(docs, folder="folder", require_outcome=require_outcome)
+    writers.write_csv(rows, out)
+
+
+def clean_csv(
+    spark: SparkSession, path: str, columns: list[str], key: str, out: str, audit: str
+) -> None:
+    """Remove boilerplate from CSV rows; the audit is kept beside the result."""
+    rows = readers.read_csv(spark, path, columns)
+    cleaned, removed = cleaned_with_audit(rows, key)
+    writers.write_csv(cleaned, out, quote_all=True)
+    writers.write_audit(removed, audit)
+
+
+def merge_csv(
+    spark: SparkSession, first: str, second: str, columns: list[str], out: str
+) -> None:
+    """One CSV dataset of two, columns by position under the first one's header."""
+    both = published(readers.read_csv(spark, first, columns), readers.read_csv(spark, second, columns))
+    writers.write_csv(both, out)

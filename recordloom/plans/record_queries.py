@@ -232,7 +232,7 @@ def envelope_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CELLS = f"""
   SELECT level, count(*) AS pages, CAST(sum(CASE WHEN nr % 11 = 0 THEN 0 ELSE n END) AS BIGINT) AS items,
-         bool_or(nr % 11 <> 0 AND nr >= level + 9) AS completed
+         max(nr) * 10 AS next_from, bool_or(nr % 11 <> 0 AND nr >= level + 9) AS completed
   FROM (SELECT level, "from" // 10 + 1 AS nr, count(*) AS n FROM ({ad.LIST_ITEMS_SQL}) GROUP BY ALL)
   GROUP BY level"""
 
@@ -252,6 +252,18 @@ def crawl_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.crawl_summary(completed_cells(spark, sf_dir))
 
 
+@query(
+    "crawl_ledger",
+    f"""SELECT level, pages, items, completed, next_from, coalesce(new_items, 0) AS new_items
+        FROM ({_CELLS})
+        LEFT JOIN (
+          SELECT level, count(DISTINCT uri) + count(*) FILTER (WHERE uri IS NULL) AS new_items
+          FROM ({ad.LIST_ITEMS_SQL}) WHERE ("from" // 10 + 1) % 11 <> 0 GROUP BY level) USING (level)""",
+)
+def crawl_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.crawl_ledger(ad.course_pages(spark, sf_dir), ["level"])
+
+
 # --- raw outcome cells --------------------------------------------------------
 
 _WORDS = f"""

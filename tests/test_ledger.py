@@ -125,7 +125,8 @@ def test_grid_and_filter(spark):
 def test_completion(spark):
     rows = [("empty", True, 0, None, None), ("last", True, 5, 3, 3), ("open", True, 5, 1, 3),
             ("broken", False, 0, None, None), ("capped", True, 1, 1, 9), ("capped", True, 1, 2, 9)]
-    pages = spark.createDataFrame(rows, "cell string, readable boolean, n_items bigint, page_number bigint, page_count bigint")
+    schema = "cell string, readable boolean, n_items bigint, page_number bigint, page_count bigint"
+    pages = spark.createDataFrame(rows, schema).withColumn("from", F.lit(0))
     got = {r.cell: r.completed for r in ledger.completed_cells(pages, ["cell"], max_pages=2).collect()}
     assert got == {"empty": True, "last": True, "open": False, "broken": False, "capped": True}
 
