@@ -29,13 +29,28 @@ def or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def replace_where(c: Column, mark: str, pattern: str, replacement: str) -> Column:
+    """`regexp_replace` only where `mark`, which every match contains, occurs at all."""
+    return let(
+        c,
+        lambda t: F.when(t.contains(mark), F.regexp_replace(t, pattern, replacement)).otherwise(t),
+    )
+
+
 def trim_ws(c: Column) -> Column:
     """Trim every white-space character, not only U+0020."""
     return F.btrim(c, F.lit(WS_CHARS))
 
 
+# Characters that are no white space, control or brace; tested first, because the
+# full classes are many ranges long and most characters are letters.
+_PLAIN = r"(?![!-z|~\xA1-\u167F])"
+_WS_RUN = rf"{_PLAIN}(?: (?={WS})|(?! ){WS}){WS}*+"
+
+
 def collapse_ws(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+    """Every run of white space to one space; a lone space needs no change."""
+    return F.trim(F.regexp_replace(c, _WS_RUN, " "))
 
 
 # --- level numbers -------------------------------------------------------
@@ -58,18 +73,25 @@ def level_number(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    def decode(text: Column) -> Column:
+        decoded = text
+        for entity, char in ENTITIES:
+            decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+        return F.when(text.contains("&"), decoded).otherwise(text)
+
+    return let(c, decode)
 
 
 # An opening brace takes the word after it along; braces, control characters,
 # U+FFFD and white space all become the same single space. The quantifiers are
 # possessive, so long runs need no regex stack. A lone space is left alone: it is
 # its own replacement, and by far the most frequent run.
-_NOISE = rf"[{{}}\x00-\x1F\x7F\uFFFD{WS_BODY}]"
+_NOISE_BODY = rf"}}\x00-\x1F\x7F\uFFFD{WS_BODY}"
 _BRACE_WORD = rf"\{{{WS}*+[A-Za-z0-9_-]*+"
-_NOISE_RUN = rf"(?: (?={_NOISE})|(?! ){_NOISE}(?<!\{{)|{_BRACE_WORD})(?:{_BRACE_WORD}|{_NOISE}(?<!\{{))*+"
+_NOISE_RUN = (
+    rf"{_PLAIN}(?: {_PLAIN}(?=[{{{_NOISE_BODY}])|(?! )[{_NOISE_BODY}]|{_BRACE_WORD})"
+    rf"(?:{_PLAIN}[{_NOISE_BODY}]|{_BRACE_WORD})*+"
+)
 
 
 def strip_html(c: Column) -> Column:
@@ -77,7 +99,7 @@ def strip_html(c: Column) -> Column:
 
     Tags that only appear after entity decoding stay.
     """
-    untagged = F.regexp_replace(c, r"<[^>]*>", " ")
+    untagged = replace_where(c, "<", r"<[^>]*>", " ")
     return or_empty(F.trim(F.regexp_replace(decode_entities(untagged), _NOISE_RUN, " ")))
 
 
@@ -105,8 +127,8 @@ def strip_labels(c: Column) -> Column:
     """Remove "Title:", "Notes -" and the like, then strip HTML."""
     c = F.replace(c, F.lit("\uFFFD"), F.lit(" "))
     c = F.regexp_replace(c, rf"\A{_LINE_LABEL}", "")
-    c = F.regexp_replace(c, rf"\n{_LINE_LABEL}", "\n")
-    c = F.regexp_replace(c, _INLINE_LABEL, "")
+    c = replace_where(c, "\n", rf"\n{_LINE_LABEL}", "\n")
+    c = replace_where(c, ":", _INLINE_LABEL, "")
     return strip_html(c)
 
 
@@ -121,10 +143,11 @@ def strip_bullets(c: Column) -> Column:
 
 
 def phrase_pattern(phrases: list[str]) -> str:
-    """Any-case alternation, longest phrase first."""
+    """Any-case alternation, longest phrase first, tried only at a first letter."""
     ordered = sorted(phrases, key=len, reverse=True)
     escaped = [p.replace("(", r"\(").replace(")", r"\)") for p in ordered]
-    return "(?i)" + "|".join(escaped)
+    letters = "".join(sorted({p[0].lower() + p[0].upper() for p in phrases}))
+    return f"(?=[{letters}])(?i:{'|'.join(escaped)})"
 
 
 FILLER = phrase_pattern(FILLER_PHRASES)
