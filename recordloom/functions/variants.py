@@ -81,25 +81,28 @@ def filled_at(v: Column, path: str) -> Column:
 
     Missing, null, "", false and 0 count as false; the texts "false" and "0" do not.
     """
-    value = F.try_variant_get(v, path, "string")
-    suspicious = value.isin("false", "0")
-    return F.when(suspicious & ~is_text(variant_at(v, path)), None).otherwise(
-        F.nullif(value, F.lit(""))
+    return let(
+        F.try_variant_get(v, path, "string"),
+        lambda t: F.when(t == "", None)
+        .when(t.isin("false", "0") & ~is_text(variant_at(v, path)), None)
+        .otherwise(t),
     )
 
 
 def plain_text_at(v: Column, path: str) -> Column:
     """As `filled_at`, for text composition: an array gives its scalars joined
     by a comma, an object gives NULL."""
-    value = filled_at(v, path)
-    looks_nested = value.rlike(r"^[\[{]")
-    nested = variant_at(v, path)
     items = F.transform(elements_at(v, path), lambda x: F.coalesce(scalar_text(x), F.lit("")))
-    return (
-        F.when(~looks_nested, value)
-        .when(is_text(nested), value)
-        .when(kind(nested).startswith("ARRAY"), F.nullif(F.array_join(items, ","), F.lit("")))
-    )
+
+    def plain(t: Column) -> Column:
+        nested = variant_at(v, path)
+        return (
+            F.when(~t.rlike(r"^[\[{]"), t)
+            .when(is_text(nested), t)
+            .when(kind(nested).startswith("ARRAY"), F.nullif(F.array_join(items, ","), F.lit("")))
+        )
+
+    return let(filled_at(v, path), plain)
 
 
 def scalar_text(v: Column) -> Column:
@@ -153,13 +156,16 @@ def label_text(v: Column, raw: Column) -> Column:
     English first, then `@value` / `value`, then the first string. `raw` is the
     label's own JSON text and is read only for the last case.
     """
-    k = kind(v)
-    return (
-        F.when(k == "STRING", F.try_variant_get(v, "$", "string"))
-        .when(k.startswith("ARRAY"), _array_label(v))
-        .when(
-            k.startswith("OBJECT"),
-            F.coalesce(_first_of(v, _ENGLISH), _first_of(v, _VALUE), _first_string_value(raw)),
+
+    def by_kind(k: Column) -> Column:
+        return (
+            F.when(k == "STRING", F.try_variant_get(v, "$", "string"))
+            .when(k.startswith("ARRAY"), _array_label(v))
+            .when(
+                k.startswith("OBJECT"),
+                F.coalesce(_first_of(v, _ENGLISH), _first_of(v, _VALUE), _first_string_value(raw)),
+            )
+            .otherwise(scalar_text(v))
         )
-        .otherwise(scalar_text(v))
-    )
+
+    return let(kind(v), by_kind)

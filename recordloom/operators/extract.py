@@ -38,15 +38,16 @@ def publisher_country(doc: Column) -> Column:
     )
 
 
-_NODES = "array<struct<label:string,body:string>>"
+_NODES = "array<struct<label:string,body:string,value:variant>>"
 
 
-
-
-def _node(v: Column, body: Column) -> Column:
-    own = F.get_json_object(body, "$.countryCode.prefLabel")
-    label = vx.label_text(vx.variant_at(v, "$.countryCode.prefLabel"), own)
-    return F.struct(F.nullif(label, F.lit("")).alias("label"), body.alias("body"))
+def _node(value: Column, body: Column) -> Column:
+    """A part of a record: its own country label if it has one, its JSON text, its value."""
+    path = "$.countryCode.prefLabel"
+    label = vx.label_text(vx.variant_at(value, path), F.get_json_object(body, path))
+    return F.struct(
+        F.nullif(label, F.lit("")).alias("label"), body.alias("body"), value.alias("value")
+    )
 
 
 def deep_country(doc: Column, body: Column) -> Column:
@@ -58,22 +59,33 @@ def deep_country(doc: Column, body: Column) -> Column:
     label left in the list is the answer.
     """
 
+    def nested(part: Column) -> Column:
+        # A branch whose text lacks the key cannot hold a label. A text may look
+        # like JSON, so the value tells what is nested.
+        kind = vx.kind(part["value"])
+        return part["body"].contains("countryCode") & kind.rlike("^(?:ARRAY|OBJECT)")
+
     def children(n: Column) -> Column:
-        text = n["body"]
-        is_list = F.ltrim(text).startswith("[")
-        # Texts keep the document order of inner keys, variants tell the types.
-        texts = F.when(is_list, F.from_json(text, "array<string>")).otherwise(
-            F.map_values(F.from_json(text, "map<string,string>"))
-        )
-        values = F.when(is_list, F.from_json(text, "array<variant>")).otherwise(
-            F.map_values(F.from_json(text, "map<string,variant>"))
-        )
-        # A branch whose text lacks the key cannot hold a label.
-        pairs = F.filter(
-            F.arrays_zip(values.alias("v"), texts.alias("t")),
-            lambda p: p["t"].contains("countryCode") & vx.kind(p["v"]).rlike("^(?:ARRAY|OBJECT)"),
+        # The texts keep document order, which values do not.
+        texts = F.from_json(n["body"], "array<string>")
+        values = vx.array_at(n["value"], "$")
+        fields = F.map_entries(F.from_json(n["body"], "map<string,string>"))
+        by_key = F.try_variant_get(n["value"], "$", "map<string,variant>")
+        parts = F.when(
+            values.isNotNull(),
+            F.transform(
+                texts, lambda t, i: F.struct(t.alias("body"), F.get(values, i).alias("value"))
+            ),
+        ).otherwise(
+            F.transform(
+                fields,
+                lambda f: F.struct(
+                    f["value"].alias("body"),
+                    F.try_element_at(by_key, f["key"]).alias("value"),
+                ),
+            )
         )
-        nodes = F.transform(pairs, lambda p: _node(p["v"], p["t"]))
+        nodes = F.transform(F.filter(parts, nested), lambda p: _node(p["value"], p["body"]))
         return F.coalesce(nodes.cast(_NODES), F.expr(f"cast(array() as {_NODES})"))
 
     def step(nodes: Column, _: Column) -> Column:
@@ -91,7 +103,7 @@ def deep_country(doc: Column, body: Column) -> Column:
             )
         )
 
-    openings = F.length(F.regexp_replace(body, r"[^\[{]", ""))
+    openings = F.length(F.regexp_replace(body, r"[^\[{]++", ""))
     start = F.array(_node(doc, body)).cast(_NODES)
     nodes = F.aggregate(F.sequence(F.lit(1), F.greatest(openings, F.lit(1))), start, step)
     found = F.get(F.filter(nodes, lambda n: n["label"].isNotNull()), F.lit(0))["label"]

@@ -29,6 +29,8 @@ def write_ndjson(
 def country_lines(lines: DataFrame) -> DataFrame:
     """Trimmed non-blank lines (`country, level, file, line_no, line`) in merge order."""
     trimmed = lines.withColumn("line", tx.trim_ws(F.col("line"))).filter(F.col("line") != "")
+    # A folder column that may be null would be sorted once more at the sink.
+    trimmed = trimmed.withColumn("country", tx.or_empty(F.col("country")))
     return trimmed.repartitionByRange("country", "level", "file", "line_no").sortWithinPartitions(
         "country", "level", "file", "line_no"
     )
@@ -101,11 +103,13 @@ def write_level_documents(items: DataFrame, path: str, item: str = "item") -> No
     ).write.mode("overwrite").partitionBy("level").text(path)
 
 
-def as_text(df: DataFrame) -> DataFrame:
-    """Every column as text; nested ones as JSON."""
+def as_text(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every column as text, nested ones as JSON; columns in `keep` as they are."""
 
     def cell(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")
+        if field.name in keep:
+            return c
         nested = isinstance(field.dataType, T.ArrayType | T.StructType | T.MapType | T.VariantType)
         return (F.to_json(c) if nested else c.cast("string")).alias(field.name)
 
@@ -124,7 +128,7 @@ def write_csv(
     Null and empty are both written as an empty cell; edge spaces survive.
     """
     writer = (
-        as_text(df)
+        as_text(df, partition_by)
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
