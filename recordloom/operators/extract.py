@@ -217,10 +217,14 @@ def page_facts(pages: DataFrame, payload: str = "payload") -> DataFrame:
 # --- whole records ----------------------------------------------------------
 
 
+def _is_record() -> Column:
+    return F.col("__doc").isNotNull() & ~F.is_variant_null("__doc")
+
+
 def _rows(docs: DataFrame, body: str, *columns: Column) -> DataFrame:
     """Columns of every well-formed document."""
     parsed = vx.with_json(docs, body, "__doc")
-    valid = F.col("__doc").isNotNull().alias("__valid")
+    valid = _is_record().alias("__valid")
     return vx.keep_rows(parsed.select(*columns, valid), F.col("__valid")).drop("__valid")
 
 
@@ -229,8 +233,8 @@ def _cell(items: Column, as_json: bool) -> Column:
 
 
 def malformed(docs: DataFrame, body: str = "body") -> DataFrame:
-    """Records whose body is not JSON; the complement of the extracts."""
-    return vx.keep_rows(vx.with_json(docs, body, "__doc"), F.col("__doc").isNull()).drop("__doc")
+    """Records whose body is not JSON, or is just `null`; the complement of the extracts."""
+    return vx.keep_rows(vx.with_json(docs, body, "__doc"), ~_is_record()).drop("__doc")
 
 
 def lo_records(

@@ -235,7 +235,8 @@ def running_number(
     many tasks; each task numbers its stretch, and the lengths of the earlier
     stretches of the group are added. The ranges come from a sample, so the
     partitioned rows are stored once before they are counted and read again.
-    `order` must be unique within a group.
+    `order` must be unique within a group. Sampling runs the input's plan once
+    more, so an input that is costly to compute should be a stored table.
     """
     keys = [*groups, *order]
     placed = (

@@ -82,6 +82,7 @@ def test_records_survive_nulls_and_odd_types(spark):
         {"title": 5, "EQFLevel": "Level 3", "learningOutcome": [None, {"title": None, "additionalNote": [None, {"noteLiteral": 3}]}]},
         "not json",
         "",
+        "null",
     ]
     table = docs(spark, odd)
     lo = {r.file: r for r in extract.lo_records(table).collect()}
@@ -91,7 +92,7 @@ def test_records_survive_nulls_and_odd_types(spark):
     qual = {r.sourceFile: r for r in extract.qual_records(table).collect()}
     assert qual["d2.json"].qualificationName == "5"
     assert json.loads(qual["d2.json"].learningOutcomes) == [{"title": "", "additionalNotes": "3"}]
-    assert {r.file for r in extract.malformed(table).collect()} == {"d3.json", "d4.json"}
+    assert {r.file for r in extract.malformed(table).collect()} == {"d3.json", "d4.json", "d5.json"}
 
 
 def test_notes_take_every_label_form(spark):
