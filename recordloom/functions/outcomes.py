@@ -110,25 +110,21 @@ def repair_json(c: Column) -> Column:
 
 def _item_parts(item: Column) -> Column:
     """Raw title and notes of one list item of any known shape."""
-    title = F.coalesce(
-        *[vx.plain_text_at(item, p) for p in ("$.title", "$.titleLiteral", "$.prefLabel", "$.name")]
-    )
+    title = vx.first_at(item, ["$.title", "$.titleLiteral", "$.prefLabel", "$.name"], vx.plain)
     note_list = F.transform(
         vx.array_at(item, "$.additionalNote"),
-        lambda n: F.coalesce(vx.plain_text_at(n, "$.noteLiteral"), vx.plain_text_at(n, "$.note")),
+        lambda n: vx.first_at(n, ["$.noteLiteral", "$.note"], vx.plain),
     )
-    single = F.when(
-        vx.is_text(vx.variant_at(item, "$.additionalNote")), vx.filled_at(item, "$.additionalNote")
-    )
-    notes = F.when(note_list.isNotNull(), F.array_join(note_list, PARAGRAPH)).otherwise(
-        F.coalesce(
-            vx.plain_text_at(item, "$.additionalNotes"),
-            single,
-            vx.plain_text_at(item, "$.noteLiteral"),
-            vx.plain_text_at(item, "$.note"),
-            vx.plain_text_at(item, "$.notes"),
-        )
+    single = vx.variant_at(item, "$.additionalNote")
+    note = vx.first_of(
+        [
+            vx.variant_at(item, "$.additionalNotes"),
+            F.when(vx.is_text(single), single),
+            *[vx.variant_at(item, p) for p in ("$.noteLiteral", "$.note", "$.notes")],
+        ],
+        vx.plain,
     )
+    notes = F.when(note_list.isNotNull(), F.array_join(note_list, PARAGRAPH)).otherwise(note)
     return F.struct(
         F.when(vx.is_text(item), vx.text_at(item, "$"))
         .otherwise(tx.or_empty(title))
@@ -181,15 +177,11 @@ def parse_outcomes(cell: Column) -> Column:
     def parts(v: Column) -> Column:
         return F.transform(_items_of(v), _item_parts)
 
-    def repaired(s: Column) -> Column:
-        return let(
-            vx.parse_json(repair_json(s)),
-            lambda v: F.when(v.isNotNull(), parts(v)).otherwise(_found_by_pattern(s)),
-        )
-
     def parsed(s: Column) -> Column:
+        # The repaired text is parsed only where the text as it is was not JSON.
         return let(
-            vx.parse_json(s), lambda v: F.when(v.isNotNull(), parts(v)).otherwise(repaired(s))
+            F.coalesce(vx.parse_json(s), vx.parse_json(repair_json(s))),
+            lambda v: F.when(v.isNotNull(), parts(v)).otherwise(_found_by_pattern(s)),
         )
 
     return F.when(tx.or_empty(cell) == "", none).otherwise(let(tx.trim_ws(cell), parsed))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,33 +78,42 @@ def elements_at(v: Column, path: str) -> Column:
     return F.coalesce(array_at(v, path), F.expr("cast(array() as array<variant>)"))
 
 
-def filled_at(v: Column, path: str) -> Column:
-    """Text at `path` when the value counts as true, else NULL.
+def filled(v: Column) -> Column:
+    """Text of a value that counts as true, else NULL.
 
     Missing, null, "", false and 0 count as false; the texts "false" and "0" do not.
     """
     return let(
-        F.try_variant_get(v, path, "string"),
+        text_at(v, "$"),
         lambda t: F.when(t == "", None)
-        .when(t.isin("false", "0") & ~is_text(variant_at(v, path)), None)
+        .when(t.isin("false", "0") & ~is_text(v), None)
         .otherwise(t),
     )
 
 
-def plain_text_at(v: Column, path: str) -> Column:
-    """As `filled_at`, for text composition: an array gives its scalars joined
-    by a comma, an object gives NULL."""
-    items = F.transform(elements_at(v, path), lambda x: F.coalesce(scalar_text(x), F.lit("")))
+def filled_at(v: Column, path: str) -> Column:
+    return filled(variant_at(v, path))
 
-    def plain(t: Column) -> Column:
-        nested = variant_at(v, path)
-        return (
-            F.when(~t.rlike(r"^[\[{]"), t)
-            .when(is_text(nested), t)
-            .when(kind(nested).startswith("ARRAY"), F.nullif(F.array_join(items, ","), F.lit("")))
-        )
 
-    return let(filled_at(v, path), plain)
+def plain(v: Column) -> Column:
+    """As `filled`, for text composition: an array gives its scalars joined by a
+    comma, an object gives NULL."""
+    items = F.transform(elements_at(v, "$"), lambda x: F.coalesce(scalar_text(x), F.lit("")))
+    return let(
+        filled(v),
+        lambda t: F.when(~t.rlike(r"^[\[{]") | is_text(v), t).when(
+            kind(v).startswith("ARRAY"), F.nullif(F.array_join(items, ","), F.lit(""))
+        ),
+    )
+
+
+def first_of(values: list[Column], read: Callable[[Column], Column]) -> Column:
+    """First text that `read` finds in the values, else NULL."""
+    return F.get(F.array_compact(F.transform(F.array(*values), read)), F.lit(0))
+
+
+def first_at(v: Column, paths: list[str], read: Callable[[Column], Column] = filled) -> Column:
+    return first_of([variant_at(v, p) for p in paths], read)
 
 
 def scalar_text(v: Column) -> Column:
@@ -124,10 +135,6 @@ _ENGLISH = ["$.en", "$['en-GB']", "$['en-US']"]
 _VALUE = ["$['@value']", "$.value"]
 
 
-def _first_of(v: Column, paths: list[str]) -> Column:
-    return F.coalesce(*[filled_at(v, p) for p in paths])
-
-
 def _first_string_value(raw: Column) -> Column:
     """First value that is a string, in document order (a VARIANT sorts its keys)."""
     values = F.map_values(F.from_json(raw, "map<string,variant>"))
@@ -136,17 +143,11 @@ def _first_string_value(raw: Column) -> Column:
 
 def _array_label(v: Column) -> Column:
     items = array_at(v, "$")
-    english = F.get(
-        F.filter(F.transform(items, lambda x: _first_of(x, _ENGLISH)), lambda t: t.isNotNull()),
-        F.lit(0),
-    )
+    english = F.get(F.array_compact(F.transform(items, lambda x: first_at(x, _ENGLISH))), F.lit(0))
     first_string = F.nullif(
         F.try_variant_get(F.get(F.filter(items, is_text), F.lit(0)), "$", "string"), F.lit("")
     )
-    valued = F.get(
-        F.filter(F.transform(items, lambda x: _first_of(x, _VALUE)), lambda t: t.isNotNull()),
-        F.lit(0),
-    )
+    valued = F.get(F.array_compact(F.transform(items, lambda x: first_at(x, _VALUE))), F.lit(0))
     return F.coalesce(english, first_string, valued, scalar_text(F.get(items, F.lit(0))))
 
 
@@ -163,7 +164,7 @@ def label_text(v: Column, raw: Column) -> Column:
             .when(k.startswith("ARRAY"), _array_label(v))
             .when(
                 k.startswith("OBJECT"),
-                F.coalesce(_first_of(v, _ENGLISH), _first_of(v, _VALUE), _first_string_value(raw)),
+                F.coalesce(first_at(v, _ENGLISH + _VALUE), _first_string_value(raw)),
             )
             .otherwise(scalar_text(v))
         )
