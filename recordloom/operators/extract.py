@@ -153,10 +153,19 @@ def record_uri(doc: Column) -> Column:
     )
 
 
+# Id-like keys of a list item, by preference.
+ID_KEYS = ["id", "uuid", "identifier", "escoIdentifier", "uri"]
+
+
 def item_id(item: Column) -> Column:
     """First id-like value that is present, even if empty."""
-    keys = ("id", "uuid", "identifier", "escoIdentifier", "uri")
-    return F.coalesce(*[vx.text_at(item, f"$.{k}") for k in keys])
+    return F.coalesce(*[vx.text_at(item, f"$.{k}") for k in ID_KEYS])
+
+
+def item_key(item: Column) -> Column:
+    """The item's id for telling repeats; NULL where the id is empty, 0 or false."""
+    ids = [vx.variant_at(item, f"$.{k}") for k in ID_KEYS]
+    return vx.filled(F.coalesce(*[F.when(~F.is_variant_null(v), v) for v in ids]))
 
 
 # --- result pages -----------------------------------------------------------

@@ -130,7 +130,7 @@ def listed_items(pages: DataFrame, scope: list[str], courses_only: bool = False)
     items = extract.unnest_items(pages, courses_only=courses_only)
     rows = items.select(
         *[c for c in items.columns if c != "item"],
-        extract.item_id(F.col("item")).alias("id"),
+        extract.item_key(F.col("item")).alias("id"),
         F.to_json("item").alias("item"),
     )
     return ledger.first_seen(rows, "id", ["from", "pos"], scope, keep_missing=True)

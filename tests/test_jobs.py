@@ -95,3 +95,10 @@ def test_multilingual(spark, tmp_path):
         "learningOutcome": "b | c", "uri": "http://x.org/q/1"}
     jobs.multilingual_files_to_csv(spark, str(tmp_path / "in"), str(tmp_path / "all"), require_outcome=False)
     assert len(rows_of(tmp_path / "all")) == 3
+
+
+def test_listed_items_keep_what_has_no_id(spark):
+    items = [{"id": 0}, {"id": 0}, {"id": ""}, {"id": None, "uri": "u"}, {"uri": "u"}, {"id": "", "uri": "u"}, {"n": 1}, {"id": "0"}, {"id": "0"}]
+    pages = spark.createDataFrame([("A", 0, json.dumps({"items": items}))], "cell string, `from` int, payload string")
+    got = sorted((r.pos, r.id) for r in jobs.listed_items(pages, ["cell"]).collect())
+    assert got == [(0, None), (1, None), (2, None), (3, "u"), (5, None), (6, None), (7, "0")]
