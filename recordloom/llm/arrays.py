@@ -94,18 +94,29 @@ def _stretches(n: int, offsets: np.ndarray, safe) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def words(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word, and n + 1 offsets of the texts into the words."""
+# Everything but ASCII letters and bytes of other scripts parts letter words.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
+def words(
+    buffer: np.ndarray, offsets: np.ndarray, parting: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word, and n + 1 offsets of the texts into the words.
+
+    Bytes flagged in `parting` stand between words; A-Z counts as a-z.
+    """
+    values = np.where(parting, U64(0), _VALUE)
 
     def safe(lo: int, hi: int, limit: int) -> int:
-        while hi < limit and not _SPACE[buffer[hi - 1]]:
+        while hi < limit and not parting[buffer[hi - 1]]:
             hi += 1
         return hi
 
     found, begins = [], []
     for lo, hi in _stretches(len(buffer), offsets, safe):
         part = buffer[lo:hi]
-        inside = ~_SPACE[part]
+        inside = ~parting[part]
         fresh = np.zeros(hi - lo + 1, bool)
         inner = offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi, "right")]
         fresh[inner - lo] = True
@@ -116,7 +127,7 @@ def words(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         stop[:-1] = ~inside[1:]
         stop |= fresh[1:]
         ends = np.flatnonzero(inside & stop) + 1
-        found.append(_hashes(_VALUE[part], starts, ends - starts))
+        found.append(_hashes(values[part], starts, ends - starts))
         begins.append(starts + lo)
     hashes = np.concatenate(found) if found else np.empty(0, U64)
     begin = np.concatenate(begins) if begins else np.empty(0, np.int64)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, near_dedup, wavelet
+from recordloom.llm import bpe, language_id, near_dedup, toxicity, wavelet
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    held_out = (toxicity.remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    rows = docs.select("doc_id", held_out, "text")
+    return toxicity.score(rows, model, ["doc_id", "held_out"])
+
+
 @query("op6_bpe")
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.read_ranks(tokenizer_file("byte_bpe_multi_50k.tiktoken"))
@@ -73,3 +87,12 @@ LEFT JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) m ON m.x = d.doc_id
 @query("op8_near_dedup", NEAR_SQL)
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = toxicity.remainder(F.col("doc_id"), 4) == 2
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text", "lang")
+    model = language_id.fit(rows.filter(~F.col("held_out")))
+    return language_id.identify(rows, model, ["doc_id", "held_out"])
