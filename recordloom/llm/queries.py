@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, language_id, near_dedup, toxicity, wavelet
+from recordloom.llm import bpe, language_id, mixing, near_dedup, toxicity, wavelet
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,64 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", held_out.alias("held_out"), "text", "lang")
     model = language_id.fit(rows.filter(~F.col("held_out")))
     return language_id.identify(rows, model, ["doc_id", "held_out"])
+
+
+# The same mix: streams in md5 order, targets by water level, seats by quotient.
+MIX_SQL = r"""
+WITH r AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+o AS (SELECT *, md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || size::VARCHAR) AS ord FROM r),
+t AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM r GROUP BY source),
+w AS (
+  SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight,
+    (3 * source_size)::DOUBLE AS cap, (sum(source_size) OVER ())::BIGINT AS total FROM t),
+v AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+    row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS at FROM w),
+f AS (SELECT min(at) AS at, arg_min(level, at) AS level FROM v WHERE cap > level * weight),
+g AS (
+  SELECT source, source_size, greatest(1, least(1024, total // 100000)) AS l,
+    CASE WHEN v.at >= f.at THEN f.level * weight ELSE cap END AS target FROM v, f),
+b AS (
+  SELECT *, CASE WHEN source_size > 0 THEN greatest(1, source_size // l) ELSE 0 END AS n FROM g),
+due AS (
+  SELECT source, coalesce(target * n / nullif(source_size, 0), 0) AS due FROM b),
+q AS (
+  SELECT source, seats, seat, due / (2 * seat + 1) AS quotient FROM (
+    SELECT source, due, seats, unnest(range(0, (ceil(most + 1) + 1)::BIGINT)) AS seat FROM (
+      SELECT source, due, round(sum(due) OVER ())::BIGINT AS seats,
+        due * (sum(due) OVER () + count(*) OVER () / 2) / sum(due) OVER () AS most
+      FROM due) WHERE due > 0)),
+s AS (
+  SELECT source, count(*) AS seats FROM (
+    SELECT *, row_number() OVER (ORDER BY quotient DESC, source NULLS LAST, seat) AS place FROM q)
+  WHERE place <= seats GROUP BY source),
+p AS (
+  SELECT b.*, least(coalesce(s.seats, 0), 3 * n) AS seats,
+    ('0x' || substr(md5('mix-1/' || coalesce(b.source, '')), 1, 8))::BIGINT AS shift
+  FROM b LEFT JOIN s ON b.source IS NOT DISTINCT FROM s.source),
+m AS (
+  SELECT o.doc_id, o.size, p.*, coalesce(sum(size) OVER (PARTITION BY o.source ORDER BY ord, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lo
+  FROM o JOIN p ON o.source IS NOT DISTINCT FROM p.source),
+k AS (
+  SELECT *, unnest(range(least(lo // l, n - 1), least((lo + size - 1) // l, n - 1) + 1)) AS k
+  FROM m WHERE size > 0),
+words AS (
+  SELECT doc_id, sum(
+    (least(lo + size, CASE WHEN k = n - 1 THEN source_size ELSE (k + 1) * l END) - greatest(lo, k * l))
+    * (seats // n + CASE WHEN (k * (2147483647 % n) + shift % n) % n < seats % n THEN 1 ELSE 0 END)
+  ) AS taken FROM k GROUP BY doc_id)
+SELECT m.doc_id, m.size, m.source_size, m.target, coalesce(words.taken, 0)::BIGINT AS taken
+FROM m LEFT JOIN words USING (doc_id)
+"""
+
+
+@query("op9_mixing", MIX_SQL)
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir), ["doc_id"])
