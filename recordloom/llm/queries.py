@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, language_id, mixing, near_dedup, toxicity, wavelet
+from recordloom.llm import bpe, fingerprint, language_id, mixing, near_dedup, toxicity, wavelet
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_fingerprint")
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_neighbours(documents(spark, sf_dir))
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -114,11 +119,11 @@ v AS (
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
-    row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS at FROM w),
-f AS (SELECT min(at) AS at, arg_min(level, at) AS level FROM v WHERE cap > level * weight),
+    row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS pos FROM w),
+f AS (SELECT min(pos) AS pos, arg_min(level, pos) AS level FROM v WHERE cap > level * weight),
 g AS (
   SELECT source, source_size, greatest(1, least(1024, total // 100000)) AS l,
-    CASE WHEN v.at >= f.at THEN f.level * weight ELSE cap END AS target FROM v, f),
+    CASE WHEN v.pos >= f.pos THEN f.level * weight ELSE cap END AS target FROM v, f),
 b AS (
   SELECT *, CASE WHEN source_size > 0 THEN greatest(1, source_size // l) ELSE 0 END AS n FROM g),
 due AS (
