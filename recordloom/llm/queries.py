@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, fingerprint, language_id, mixing, near_dedup, toxicity, wavelet
+from recordloom.llm import bpe, fingerprint, language_id, mixing, near_dedup, secrets, toxicity, wavelet
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,54 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, model, ["doc_id", "held_out"])
 
 
+# Regular expressions in RE2's form; group 1 is the part whose length counts.
+_KINDS = [
+    ("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"""
+     r"""[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 6),
+    ("access", "(AKIA[A-Z0-9]+)", 20),
+    ("hex", "([0-9a-f]+)", 24),
+    ("github", "(gh[opsur]_[A-Za-z0-9]{36,})", 0),
+    ("slack", "(xox[abprs]-[A-Za-z0-9-]{10,})", 0),
+    ("google", "(AIza[0-9A-Za-z_-]{35})", 0),
+    ("stripe", "([rs]k_live_[0-9A-Za-z]{16,})", 0),
+    ("private_key", "(-----BEGIN [A-Z ]*PRIVATE KEY-----)", 0),
+    ("jwt", r"(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 0),
+]
+_ONE_KIND = """
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind, e - len(m) AS s, e FROM (
+  SELECT doc_id, m, g, sum(len(p) + len(m)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
+    SELECT doc_id, unnest(string_split_regex(t, '{regex}')[:-2]) AS p,
+      unnest(regexp_extract_all(t, '{regex}', 0)) AS m, unnest(regexp_extract_all(t, '{regex}', 1)) AS g,
+      generate_subscripts(regexp_extract_all(t, '{regex}', 0), 1) AS i FROM d))
+WHERE len(g) >= {least}"""
+SECRETS_SQL = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), spans AS ("
+    + " UNION ALL ".join(
+        _ONE_KIND.format(rank=i, kind=k, regex=r, least=n) for i, (k, r, n) in enumerate(_KINDS)
+    )
+    + """), named AS (SELECT *, kind || ':' || s::BIGINT || ':' || e::BIGINT AS name FROM spans)
+SELECT doc_id, coalesce(count_if(rank = 0), 0)::BIGINT AS n_assign, coalesce(count_if(rank = 1), 0)::BIGINT AS n_access,
+  coalesce(count_if(rank = 2), 0)::BIGINT AS n_hex,
+  sha256(coalesce(string_agg(name, ',' ORDER BY s, rank) FILTER (rank < 3), '')) AS base_sha256,
+  coalesce(string_agg(name, ',' ORDER BY s, rank), '') AS spans
+FROM d LEFT JOIN named USING (doc_id) GROUP BY doc_id"""
+)
+
+
+@query("op5_secrets", SECRETS_SQL)
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir), ["doc_id"])
+    spans = F.col("spans")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(rule.kind) for rule in secrets.BASE_RULES]
+    base = secrets.listed(spans, lambda s: s["rank"] < len(secrets.BASE_RULES))
+    digest = F.sha2(base.cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.listed(spans).alias("spans"))
+
+
 @query("op6_bpe")
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.read_ranks(tokenizer_file("byte_bpe_multi_50k.tiktoken"))
