@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, fingerprint, language_id, mixing, near_dedup, secrets, toxicity, wavelet
+from recordloom.llm import bpe, fingerprint, language_id, mixing, near_dedup, neighbours, secrets, toxicity, wavelet
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_neighbours")
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query("op2_fingerprint")
 def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_neighbours(documents(spark, sf_dir))
