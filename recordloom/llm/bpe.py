@@ -276,20 +276,27 @@ def decode(df: DataFrame, tokens: list[bytes], ids: str = "ids", out: str = "byt
     return df.mapInArrow(run, df.drop(out).schema.add(out, "binary"))
 
 
-def digests(df: DataFrame, tokens: list[bytes], keep: list[str], text: str = "text") -> DataFrame:
-    """Columns `keep` with `n_tokens`, `ids_sha256` and `decoded_sha256`.
+def digests(
+    df: DataFrame, tokens: list[bytes], keep: list[str], text: str = "text", ids_too: bool = False
+) -> DataFrame:
+    """Columns `keep` with `n_tokens`, `ids_sha256` and `decoded_sha256`; `ids` if wanted.
 
-    Encodes, decodes the ids again and keeps only the digests, so that ids and bytes
-    of a part never leave the worker.
+    Encodes, and decodes the ids again; bytes never leave the worker.
     """
     shared = _share(df, tokens)
-    rows = df.select(*keep, F.col(text).cast("string").alias("__text"))
+    inner = [f"k{i}" for i in range(len(keep))]
+    kept = [F.col(k).alias(i) for k, i in zip(keep, inner, strict=True)]
+    rows = df.select(*kept, F.col(text).cast("string").alias("text"))
+    schema = df.select(*keep).schema
+    schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    if ids_too:
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.tokens.value
         names = list(map(str, range(len(vocabulary))))
-        for part in _parts(batches, "__text"):
-            encoded = _encode_column(shared, part["__text"])
+        for part in _parts(batches, "text"):
+            encoded = _encode_column(shared, part["text"])
             offsets = encoded.offsets.to_numpy()
             values = encoded.values.to_numpy()
             listed, decoded = [], []
@@ -301,16 +308,15 @@ def digests(df: DataFrame, tokens: list[bytes], keep: list[str], text: str = "te
                 decoded.append(hashlib.sha256(back).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[part[c] for c in keep],
+                    *[part[i] for i in inner],
                     pa.array(np.diff(offsets).astype(np.int64)),
                     pa.array(listed, pa.string()),
                     pa.array(decoded, pa.string()),
+                    *([encoded] if ids_too else []),
                 ],
-                [*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
+                schema.names,
             )
 
-    schema = df.select(*keep).schema
-    schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     return rows.mapInArrow(run, schema)
 
 

@@ -36,6 +36,7 @@ BLOCK_WORDS = 1024
 LEAST_BLOCKS = 100_000
 SHARD_BLOCKS = 1000
 BUCKET_ROWS = 20_000
+COPY_BUCKET_ROWS = 200_000
 RANGES = 1024
 # Fixed value: a prime above any number of blocks of one source.
 _PRIME = 2_147_483_647
@@ -117,11 +118,11 @@ def sized(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Columns `keep` with source, size and the seeded order of every row (`doc_id`,
     `text`, `source`)."""
     source = F.col("source").cast("string")
-    size = words_of(F.col("text"))
+    size = words_of(F.col("text").cast("string"))
     name = F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return docs.select(
         *keep,
-        source.alias("source"),
+        *([] if "source" in keep else [source.alias("source")]),
         # Null and any text get different keys.
         F.when(source.isNull(), "n").otherwise(F.concat(F.lit("v"), source)).alias("key"),
         size.alias("size"),
@@ -207,3 +208,39 @@ def mix(docs: DataFrame, keep: list[str], block_words: int = BLOCK_WORDS) -> Dat
     """Columns `keep`, `size, source_size, target, taken` for every row of `docs`."""
     rows = stored(sized(docs, keep), "sized")
     return taken(rows, block_words).select(*keep, "size", "source_size", "target", "taken")
+
+
+def with_copies(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Whole documents for a mix: `docs`, each row as often as the mix takes it.
+
+    A share taken / size becomes whole copies by running sums from large to small
+    documents, within a source and bucket of the seeded order, so that neighbours of
+    about one size make up for each other. Rows without words stay once, and rows
+    that share doc_id, source and size share the number of copies.
+    """
+    rows = taken(stored(sized(docs, ["doc_id"]), "sized"), block_words)
+    n, digits = rows.count(), 0
+    while 16**digits * COPY_BUCKET_ROWS < n:
+        digits += 1
+    share = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0.0)
+    largest = Window.partitionBy("key", F.substring("order", 1, digits)).orderBy(F.desc("size"), "order")
+    run = F.sum(share).over(largest.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    times = (F.floor(F.col("run") + 0.5) - F.floor(F.col("run") - F.col("share") + 0.5)).cast("int")
+    times = F.greatest(F.lit(0), F.least(F.lit(MOST_TIMES), times))
+    counted = (
+        rows.withColumn("run", run)
+        .withColumn("share", share)
+        .select("order", "key", F.when(F.col("size") > 0, times).otherwise(1).alias("times"))
+        .groupBy("order", "key")
+        .agg(F.max("times").alias("__times"))
+        .filter(F.col("__times") > 0)
+    )
+    named = sized(docs, docs.columns).select(
+        *[F.col(c) for c in docs.columns], F.col("order").alias("__order"), F.col("key").alias("__key")
+    )
+    joined = named.join(
+        counted.select(F.col("order").alias("__order"), F.col("key").alias("__key"), "__times"),
+        ["__order", "__key"],
+    )
+    copied = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return copied.select(*docs.columns)

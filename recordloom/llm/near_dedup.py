@@ -316,3 +316,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each component: that of the smallest doc_id, one row of it."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    kept = near_duplicates(docs).filter("kept").select(key.alias("__key")).distinct()
+    rows = docs.withColumn("__key", key).join(kept, "__key", "left_semi")
+    return rows.dropDuplicates(["__key", "text"]).select(*docs.columns)

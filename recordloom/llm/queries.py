@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, fingerprint, language_id, mixing, near_dedup, neighbours, secrets, toxicity, wavelet
+from recordloom.llm import bpe, fingerprint, kneser_ney, language_id, mixing, near_dedup, neighbours, secrets, toxicity, wavelet
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,14 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_neighbours(documents(spark, sf_dir))
 
 
+@query("op3_kneser_ney")
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (toxicity.remainder(F.col("doc_id"), 10) == 0).alias("held_out")
+    rows = documents(spark, sf_dir).select("doc_id", held_out, "text")
+    model = kneser_ney.train(rows.filter(~F.col("held_out")))
+    return kneser_ney.score(rows, model, ["doc_id", "held_out"])
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

@@ -285,13 +285,14 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     """Columns `keep` with `score` and `predicted` for every row."""
     schema = docs.select(*keep).schema.add("score", "double").add("predicted", "integer")
     inner = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(
-        *[F.col(k).alias(i) for k, i in zip(keep, inner, strict=True)], F.col(text).cast("string").alias("text")
-    )
+    # The text moves once, also if it is kept.
+    extra = [] if text in keep else [F.col(text).cast("string").alias("text")]
+    rows = docs.select(*[F.col(k).alias(i) for k, i in zip(keep, inner, strict=True)], *extra)
+    column = inner[keep.index(text)] if text in keep else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = model.score(features(batch["text"], model.lexicon))
+            found = model.score(features(batch[column], model.lexicon))
             yield pa.RecordBatch.from_arrays(
                 [*[batch[i] for i in inner], pa.array(found), pa.array((found >= 0.5).astype(np.int32))],
                 [*keep, "score", "predicted"],
