@@ -142,9 +142,9 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         key, first = keys[-1], int(pivot[-1])
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
+        far, linked = [], []
         for a, b in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True):
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
             if len(x) > len(y):
@@ -152,17 +152,22 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = np.searchsorted(y, x)
             place[place == len(y)] = 0
             both = int((y[place] == x).sum())
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(
-            pa.array(keep, pa.bool_())
+            union = len(x) + len(y) - both
+            far.append(1 - both / union)
+            linked.append(100 * both >= PERCENT * union)
+        yield pa.RecordBatch.from_arrays(
+            [batch["a"], batch["b"], pa.array(far, pa.float64()), pa.array(linked, pa.bool_())],
+            ["a", "b", "far", "linked"],
         )
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (`a`, `b`) whose full sets are similar enough."""
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (`a`, `b`) with their distance and whether they are linked, by full sets."""
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_confirmed, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(
+        _measured, "a long, b long, far double, linked boolean"
+    )
 
 
 def components(edges: DataFrame, tag: str) -> DataFrame:
@@ -208,6 +213,7 @@ def _open_pairs(group: pa.Table) -> pa.Table:
     cids = group["cid"].to_numpy()
     labels = group["label"].to_numpy()
     sizes = group["n"].to_numpy()
+    own, far = group["own"].to_numpy(), group["far"].to_numpy()
     blocks = group["block"].to_numpy()
     lo, hi = int(group["lo"][0].as_py()), int(group["hi"][0].as_py())
     key = np.int64(group["key"][0].as_py())
@@ -227,6 +233,12 @@ def _open_pairs(group: pa.Table) -> pa.Table:
         other = other[labels[other] != labels[i]]
         small, large = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
         other = other[100 * small >= PERCENT * large]
+        # Jaccard distance is a metric: two that lie apart by more than a link allows, as
+        # seen from the bucket's first member, are not linked.
+        other = other[np.abs(far[other] - far[i]) <= 1 - PERCENT / 100 + 1e-9]
+        # Shingles that no other open set has are in no intersection.
+        most = np.minimum(sizes[other] - own[other], sizes[i] - own[i])
+        other = other[100 * most >= PERCENT * (sizes[other] + sizes[i] - most)]
         if not len(other):
             continue
         same = half[other] == half[i]
@@ -239,13 +251,38 @@ def _open_pairs(group: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(out_a or none), "b": np.concatenate(out_b or none)})
 
 
-def _remaining(buckets: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _own_shingles(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """(`cid`, `own`): how many shingles of an open set no other open set has."""
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, data in zip(batch["cid"].to_pylist(), batch["shingles"].to_pylist(), strict=True):
+                shingles = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(shingles), cid)), pa.array(shingles)], ["cid", "shingle"]
+                )
+
+    return (
+        sets.join(open_, "cid", "left_semi")
+        .mapInArrow(exploded, "cid long, shingle long")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("cid").alias("cid"))
+        .filter("n = 1")
+        .groupBy("cid")
+        .agg(F.count("*").alias("own"))
+    )
+
+
+def _remaining(
+    buckets: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, stars: DataFrame
+) -> DataFrame:
     """Pairs of a bucket beyond those with its first member, across components.
 
-    A large bucket is taken as pairs of blocks, so no task holds more than two blocks.
+    Pairs go first whose sizes, whose distances from the first member, or whose shingles
+    found nowhere else rule out a link. A large bucket is taken as pairs of blocks, so no task holds more than two blocks.
     """
     labelled = buckets.join(labels, buckets["cid"] == labels["node"], "left").select(
-        "key", "cid", F.coalesce("label", "cid").alias("label")
+        "key", "pivot", "cid", F.coalesce("label", "cid").alias("label")
     )
     state = labelled.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")
@@ -253,14 +290,18 @@ def _remaining(buckets: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
     mixed = state.filter(F.col("low") != F.col("high")).select(
         "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")
     )
+    open_rows = stored(labelled.join(mixed, "key"), "open")
+    own = _own_shingles(sets, open_rows.select("cid").distinct())
     rows = (
-        labelled.join(mixed, "key")
-        .join(classes.select("cid", F.col("n_shingles").alias("n"), "mins"), "cid")
+        open_rows.join(classes.select("cid", F.col("n_shingles").alias("n"), "mins"), "cid")
+        .join(stars.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "far"), ["pivot", "cid"])
+        .join(own, "cid", "left")
+        .withColumn("own", F.coalesce("own", F.lit(0)))
         .withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("lo", F.least("block", "other"))
         .withColumn("hi", F.greatest("block", "other"))
-        .select("key", "lo", "hi", "block", "cid", "label", "n", "mins")
+        .select("key", "lo", "hi", "block", "cid", "label", "n", "own", "far", "mins")
     )
     return rows.groupBy("key", "lo", "hi").applyInArrow(_open_pairs, "a long, b long")
 
@@ -301,9 +342,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["cid"]),
         "sets",
     )
-    links = stored(verified(stars, sets), "links")
+    stars = stored(measured(stars, sets), "stars")
+    links = stars.filter("linked").select("a", "b")
     labels = components(links, "star")
-    more = stored(verified(_remaining(buckets, labels, classes), sets), "links")
+    remaining = _remaining(buckets, labels, classes, sets, stars)
+    more = stored(measured(remaining, sets).filter("linked").select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), "all")
     placed = classes.join(labels, classes["cid"] == labels["node"], "left").select(
