@@ -31,6 +31,7 @@ HALVES = 12
 ROWS = 3
 PERCENT = 85
 BLOCK = 1024
+PART = 512
 # A pair of similarity 0.85 agrees in 61 of 72 min-hashes, give or take 3.
 LEAST_AGREEING = 45
 _HASHES = 2 * HALVES * ROWS
@@ -142,21 +143,30 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         key, first = keys[-1], int(pivot[-1])
 
 
+def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[float, bool]:
+    """Distance of two sorted sets, and whether they are linked."""
+    if len(x) > len(y):
+        x, y = y, x
+    place = np.searchsorted(y, x)
+    place[place == len(y)] = 0
+    both = int((y[place] == x).sum())
+    union = len(x) + len(y) - both
+    return 1 - both / union, 100 * both >= PERCENT * union
+
+
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        far, linked = [], []
-        for a, b in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            place = np.searchsorted(y, x)
-            place[place == len(y)] = 0
-            both = int((y[place] == x).sum())
-            union = len(x) + len(y) - both
-            far.append(1 - both / union)
-            linked.append(100 * both >= PERCENT * union)
+        found = [
+            _overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+            for a, b in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
-            [batch["a"], batch["b"], pa.array(far, pa.float64()), pa.array(linked, pa.bool_())],
+            [
+                batch["a"],
+                batch["b"],
+                pa.array([f for f, _ in found], pa.float64()),
+                pa.array([linked for _, linked in found], pa.bool_()),
+            ],
             ["a", "b", "far", "linked"],
         )
 
@@ -205,7 +215,7 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
             return labels
 
 
-def _open_pairs(group: pa.Table) -> pa.Table:
+def _open_pairs(group: pa.Table, parts: int) -> pa.Table:
     """Pairs of a block pair that may be similar and are in different components.
 
     A pair is given by one table only: the first in which both collections agree.
@@ -248,7 +258,54 @@ def _open_pairs(group: pa.Table) -> pa.Table:
         out_a += [np.full(len(other), cids[i])]
         out_b += [cids[other]]
     none = [np.empty(0, np.int64)]
-    return pa.table({"a": np.concatenate(out_a or none), "b": np.concatenate(out_b or none)})
+    return _packed_pairs(np.concatenate(out_a or none), np.concatenate(out_b or none), parts)
+
+
+_PAIRS = pa.schema(
+    [("part_a", pa.int32()), ("part_b", pa.int32()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]
+)
+
+
+def _packed_pairs(a: np.ndarray, b: np.ndarray, parts: int) -> pa.Table:
+    """One row of pairs for each combination of the parts that `a` and `b` belong to."""
+    if not len(a):
+        return _PAIRS.empty_table()
+    part_a, part_b = a % parts, b % parts
+    order = np.lexsort((part_b, part_a))
+    a, b, combined = a[order], b[order], (part_a * parts + part_b)[order]
+    edges = np.flatnonzero(np.concatenate([[True], combined[1:] != combined[:-1], [True]]))
+    rows = [
+        {"part_a": int(combined[lo] // parts), "part_b": int(combined[lo] % parts), "a": a[lo:hi], "b": b[lo:hi]}
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
+    ]
+    return pa.Table.from_pylist(rows, _PAIRS)
+
+
+def _members(packs: pa.Table) -> pa.Table:
+    """Sets that the pairs of one combination of parts need."""
+    cids = np.unique(np.concatenate([packs[c].combine_chunks().flatten().to_numpy() for c in ("a", "b")]))
+    return pa.table(
+        {
+            "part_a": pa.array(np.full(len(cids), packs["part_a"][0].as_py(), np.int32)),
+            "part_b": pa.array(np.full(len(cids), packs["part_b"][0].as_py(), np.int32)),
+            "cid": cids,
+        }
+    )
+
+
+def _linked_pairs(packs: pa.Table, sets: pa.Table) -> pa.Table:
+    """The pairs of one combination of parts that are linked, by their full sets."""
+    known = {
+        cid: np.frombuffer(data, np.uint64)
+        for cid, data in zip(sets["cid"].to_pylist(), sets["shingles"].to_pylist(), strict=True)
+    }
+    out: dict[str, list[int]] = {"a": [], "b": []}
+    for row in packs.to_pylist():
+        for a, b in zip(row["a"], row["b"], strict=True):
+            if _overlap(known[a], known[b])[1]:
+                out["a"].append(a)
+                out["b"].append(b)
+    return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
 
 def _own_shingles(sets: DataFrame, open_: DataFrame) -> DataFrame:
@@ -276,10 +333,11 @@ def _own_shingles(sets: DataFrame, open_: DataFrame) -> DataFrame:
 def _remaining(
     buckets: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, stars: DataFrame
 ) -> DataFrame:
-    """Pairs of a bucket beyond those with its first member, across components.
+    """Links of a bucket beyond those with its first member, across components.
 
     Pairs go first whose sizes, whose distances from the first member, or whose shingles
-    found nowhere else rule out a link. A large bucket is taken as pairs of blocks, so no task holds more than two blocks.
+    found nowhere else rule out a link. What is left is checked on the full sets, in
+    combinations of two parts of the open sets, so that only links become rows. A large bucket is taken as pairs of blocks, so no task holds more than two blocks.
     """
     labelled = buckets.join(labels, buckets["cid"] == labels["node"], "left").select(
         "key", "pivot", "cid", F.coalesce("label", "cid").alias("label")
@@ -303,7 +361,24 @@ def _remaining(
         .withColumn("hi", F.greatest("block", "other"))
         .select("key", "lo", "hi", "block", "cid", "label", "n", "own", "far", "mins")
     )
-    return rows.groupBy("key", "lo", "hi").applyInArrow(_open_pairs, "a long, b long")
+    parts = max(1, -(-open_rows.select("cid").distinct().count() // PART))
+    packs = stored(
+        rows.groupBy("key", "lo", "hi").applyInArrow(
+            lambda group: _open_pairs(group, parts),
+            "part_a int, part_b int, a array<long>, b array<long>",
+        ),
+        "pairs",
+    )
+    needed = (
+        packs.groupBy("part_a", "part_b")
+        .applyInArrow(_members, "part_a int, part_b int, cid long")
+        .join(sets, "cid")
+    )
+    return (
+        packs.groupBy("part_a", "part_b")
+        .cogroup(needed.groupBy("part_a", "part_b"))
+        .applyInArrow(_linked_pairs, "a long, b long")
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -346,7 +421,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = stars.filter("linked").select("a", "b")
     labels = components(links, "star")
     remaining = _remaining(buckets, labels, classes, sets, stars)
-    more = stored(measured(remaining, sets).filter("linked").select("a", "b"), "links")
+    more = stored(remaining, "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), "all")
     placed = classes.join(labels, classes["cid"] == labels["node"], "left").select(
