@@ -40,7 +40,6 @@ COPY_BUCKET_ROWS = 200_000
 RANGES = 1024
 # Fixed value: a prime above any number of blocks of one source.
 _PRIME = 2_147_483_647
-_ALL = Window.partitionBy()
 
 
 def words_of(text: Column) -> Column:
@@ -67,11 +66,11 @@ def targets(totals: DataFrame) -> DataFrame:
     order = [F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()]
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     onward = Window.orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    left = F.sum("source_size").over(_ALL) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
+    left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     level = weighed.withColumn("level", left / F.sum("weight").over(onward))
     level = level.withColumn("at", F.row_number().over(Window.orderBy(*order)))
     open_ = F.when(F.col("cap") > F.col("level") * F.col("weight"), F.struct("at", "level"))
-    first = F.min(open_).over(_ALL)
+    first = F.min(open_).over(Window.partitionBy())
     free = first.isNotNull() & (F.col("at") >= first["at"])
     target = F.when(free, first["level"] * F.col("weight")).otherwise(F.col("cap"))
     return level.withColumn("target", target).drop("weight", "cap", "level", "at")
@@ -84,8 +83,8 @@ def seats(due: DataFrame) -> DataFrame:
     share of (seats + half the sources) and one more, so no more candidates are made.
     `seat` counts a source's seats, `place` those of the mix, both from 0.
     """
-    total = F.sum("due").over(_ALL)
-    most = F.col("due") * (total + F.count("*").over(_ALL) / 2) / total
+    total = F.sum("due").over(Window.partitionBy())
+    most = F.col("due") * (total + F.count("*").over(Window.partitionBy()) / 2) / total
     candidates = due.filter(F.col("due") > 0).select(
         "key", "source", "due",
         F.round(total).cast("long").alias("seats"), F.ceil(most + 1).cast("long").alias("most"),
@@ -133,7 +132,7 @@ def sized(docs: DataFrame, keep: list[str]) -> DataFrame:
 def plan(rows: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """Per source: size, target, block length, number of blocks, seats; and all seats."""
     totals = rows.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
-    finest = F.floor(F.sum("source_size").over(_ALL) / LEAST_BLOCKS)
+    finest = F.floor(F.sum("source_size").over(Window.partitionBy()) / LEAST_BLOCKS)
     length = F.greatest(F.lit(1).cast("long"), F.least(F.lit(block_words).cast("long"), finest))
     blocks = F.greatest(F.lit(1).cast("long"), F.floor(F.col("source_size") / F.col("length")))
     sources = stored(
