@@ -55,7 +55,6 @@ REQUEST_VERSION = "1.8"
 # Crawl limits.
 PAGE_SIZE = 10
 LARGE_PAGE_SIZE = 150
-MAX_PAGES_PER_CELL = 10_000
 STALL_SECONDS = 300
 MILESTONE_STEP = 100
 RECENT_LIMIT = 100

@@ -99,7 +99,9 @@ def strip_html(c: Column) -> Column:
 
     Tags that only appear after entity decoding stay.
     """
-    untagged = replace_where(c, "<", r"<[^>]*>", " ")
+    # A tag that is never closed is taken as one match and put back, so that the text
+    # behind it is not searched again from each further `<`.
+    untagged = replace_where(c, "<", r"<[^>]*+>|(<[^>]*+\z)", "$1 ")
     return or_empty(F.trim(F.regexp_replace(decode_entities(untagged), _NOISE_RUN, " ")))
 
 

@@ -201,8 +201,14 @@ def unnest_items(
     return parsed.select(*kept, F.posexplode(items).alias("pos", "item"))
 
 
-def page_facts(pages: DataFrame, payload: str = "payload") -> DataFrame:
-    """Per page: is it readable, how many items, its own and the last page number."""
+def page_facts(
+    pages: DataFrame, payload: str = "payload", courses_only: bool = True
+) -> DataFrame:
+    """Per page: is it readable, how many items, its own and the last page number.
+
+    The items are those that `unnest_items` gives. Without `courses_only` a page is
+    readable if it is JSON, and one without any item list is an empty page.
+    """
 
     def whole(path: str) -> Column:
         number = F.when(
@@ -212,11 +218,17 @@ def page_facts(pages: DataFrame, payload: str = "payload") -> DataFrame:
         return F.when(number == F.floor(number), number.cast("bigint"))
 
     parsed = vx.with_json(pages, payload, "__page")
-    courses = vx.array_at(F.col("__page"), "$.courses")
+    page = F.col("__page")
+    if courses_only:
+        courses = vx.array_at(page, "$.courses")
+        readable = courses.isNotNull()
+    else:
+        courses = envelope_items(page, F.col(payload))
+        readable = page.isNotNull()
     kept = [c for c in pages.columns if c != payload]
     return parsed.select(
         *kept,
-        courses.isNotNull().alias("readable"),
+        readable.alias("readable"),
         F.coalesce(F.size(courses), F.lit(0)).cast("bigint").alias("n_items"),
         whole("$.paginationInfos.currentPageNumber").alias("page_number"),
         whole("$.paginationInfos.totalPageCount").alias("page_count"),

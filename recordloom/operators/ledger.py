@@ -12,7 +12,6 @@ from recordloom.constants import (
     COUNTRY_URI,
     LEVEL_URI,
     LEVELS,
-    MAX_PAGES_PER_CELL,
     MILESTONE_STEP,
     PAGE_SIZE,
     RECENT_LIMIT,
@@ -167,22 +166,28 @@ def outcome_counts(log: DataFrame, by: Sequence[str] = ("level",)) -> DataFrame:
 def completed_cells(
     pages: DataFrame,
     cell: Sequence[str] = ("country", "level"),
-    max_pages: int = MAX_PAGES_PER_CELL,
+    max_pages: int | None = None,
     size: int = PAGE_SIZE,
 ) -> DataFrame:
-    """A cell is complete after an empty page, its last page, or the page cap.
+    """A cell is complete after an empty page or its last page.
+
+    With `max_pages`, a column `capped` tells which cells have reached so many pages
+    without being complete; they stay open.
 
     Input: the facts per page (`from`, `readable`, `n_items`, `page_number`,
     `page_count`).
     """
     empty = F.col("readable") & (F.col("n_items") == 0)
     last = F.coalesce(F.col("page_number") >= F.col("page_count"), F.lit(False))
-    return pages.groupBy(*cell).agg(
+    cells = pages.groupBy(*cell).agg(
         F.count("*").alias("pages"),
         F.sum("n_items").cast("bigint").alias("items"),
         (F.max("from") + size).cast("bigint").alias("next_from"),
-        (F.bool_or(empty | last) | (F.count("*") >= max_pages)).alias("completed"),
+        F.bool_or(empty | last).alias("completed"),
     )
+    if max_pages is None:
+        return cells
+    return cells.withColumn("capped", ~F.col("completed") & (F.col("pages") >= max_pages))
 
 
 def crawl_summary(cells: DataFrame) -> DataFrame:
@@ -282,13 +287,11 @@ def numbered_pages(
 
 
 def page_of(df: DataFrame, order: Sequence[str], offset: int, size: int = PAGE_SIZE) -> DataFrame:
-    """One result page. A far page is found by number, since a sorted limit would
-    bring all rows before it to the driver."""
-    if offset + size <= MAX_PAGES_PER_CELL:
-        return df.orderBy(*order).offset(offset).limit(size)
+    """One result page, in order. It is found by number at any offset, since a sorted
+    limit would bring all rows before it to the driver."""
     rn = F.col("__rn")
     on_page = (rn > offset) & (rn <= offset + size)
-    return running_number(df, order, (), "__rn").filter(on_page).drop("__rn")
+    return running_number(df, order, (), "__rn").filter(on_page).orderBy("__rn").drop("__rn")
 
 
 def shard_rows(
@@ -320,9 +323,8 @@ def recent_rows(
 ) -> DataFrame:
     """Last `limit` rows per group, with their age (1 = newest).
 
-    The limit is applied before the shuffle too, so each task sends at most
-    `limit` rows of a group however large the group is. Spark does that by itself
-    up to its window-group limit; beyond it, groups are first cut in slices.
+    Groups are first cut in slices, and only the last `limit` rows of a slice go on, so
+    that no task orders a whole group however large it is.
     """
     newest = [F.col(c).desc() for c in order]
 
@@ -330,11 +332,8 @@ def recent_rows(
         rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*newest))
         return df.withColumn("age", rank.cast("bigint")).filter(F.col("age") <= limit)
 
-    threshold = int(log.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if limit > threshold:
-        sliced = log.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(256)))
-        log = ranked(sliced, *by, "__slice").drop("__slice", "age")
-    return ranked(log, *by)
+    sliced = log.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(256)))
+    return ranked(ranked(sliced, *by, "__slice").drop("__slice", "age"), *by)
 
 
 def stall_gaps(

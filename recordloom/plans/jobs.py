@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from recordloom.constants import (
     LO_REQUIRED,
-    MAX_PAGES_PER_CELL,
     NOTE_SEMICOLON,
     PAGE_SIZE,
     QUAL_REQUIRED,
@@ -140,8 +139,8 @@ def multilingual_dataset(
     pages: DataFrame, docs: DataFrame, scope: list[str], require_outcome: bool = True
 ) -> DataFrame:
     """Pages and the stored documents (`id, country, body`) to flat rows."""
-    listed = listed_items(pages, scope).filter(F.col("id").isNotNull())
-    wanted = ledger.only_listed(docs, listed, ["id"])
+    items = extract.unnest_items(pages).select(extract.item_key(F.col("item")).alias("id"))
+    wanted = ledger.only_listed(docs, items.filter(F.col("id").isNotNull()), ["id"])
     return extract.multilingual_records(wanted, require_outcome=require_outcome)
 
 
@@ -165,17 +164,25 @@ def open_requests(
 ) -> DataFrame:
     """Cells still to be crawled, with the offset to go on from."""
     todo = ledger.skip_done(grid, completed, cell)
-    return ledger.resume_offsets(todo, stored, cell, size).filter(
-        F.col("from") < size * MAX_PAGES_PER_CELL
-    )
+    return ledger.resume_offsets(todo, stored, cell, size)
 
 
-def crawl_ledger(pages: DataFrame, cell: list[str], size: int = PAGE_SIZE) -> DataFrame:
+def crawl_ledger(
+    pages: DataFrame, cell: list[str], size: int = PAGE_SIZE, courses_only: bool = True
+) -> DataFrame:
     """State of every cell from its captured pages (`cell, from, payload`):
-    pages, items, first-seen items, offset to go on from, complete or not."""
-    state = ledger.completed_cells(extract.page_facts(pages), cell, size=size)
-    fresh = listed_items(pages, cell, courses_only=True).groupBy(*cell)
-    counts = fresh.agg(F.count("*").alias("new_items"))
+    pages, items, first-seen items, offset to go on from, complete or not.
+
+    Pages hold their items under `courses`, or with `courses_only=False` in any of the
+    known forms. Only ids are shuffled: distinct ones count once, items without id each.
+    """
+    facts = extract.page_facts(pages, courses_only=courses_only)
+    state = ledger.completed_cells(facts, cell, size=size)
+    items = extract.unnest_items(pages, courses_only=courses_only)
+    ids = items.select(*cell, extract.item_key(F.col("item")).alias("id"))
+    counts = ids.groupBy(*cell).agg(
+        (F.countDistinct("id") + F.count_if(F.col("id").isNull())).alias("new_items")
+    )
     return state.join(counts, cell, "left").fillna(0, ["new_items"])
 
 
@@ -208,16 +215,18 @@ def multilingual_files_to_csv(
 def clean_csv(
     spark: SparkSession, path: str, columns: list[str], key: str, out: str, audit: str
 ) -> None:
-    """Remove boilerplate from CSV rows; the audit is kept beside the result."""
+    """Remove boilerplate from CSV rows; the audit is kept beside the result.
+
+    Columns are found by the header's names, in any order."""
     rows = readers.read_csv(spark, path, columns)
     cleaned, removed = cleaned_with_audit(rows, key)
     writers.write_csv(cleaned, out, quote_all=True)
     writers.write_audit(removed, audit)
 
 
-def merge_csv(
-    spark: SparkSession, first: str, second: str, columns: list[str], out: str
-) -> None:
-    """One CSV dataset of two, columns by position under the first one's header."""
-    both = published(readers.read_csv(spark, first, columns), readers.read_csv(spark, second, columns))
+def merge_csv(spark: SparkSession, first: str, second: str, out: str) -> None:
+    """One CSV dataset of two, columns by position under the first one's header.
+
+    Raises an error if their headers have different numbers of columns."""
+    both = published(readers.read_csv(spark, first), readers.read_csv(spark, second))
     writers.write_csv(both, out)

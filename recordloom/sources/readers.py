@@ -136,20 +136,34 @@ def read_index(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, D
     return good, vx.keep_rows(parsed, F.col("uris").isNull()).select("file", "level")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str] | None = None,
+    surplus: str | None = None,
+) -> DataFrame:
     """CSV with header, quoted line breaks allowed; all text, '' for empty cells.
 
-    Short rows are padded, surplus cells dropped.
+    The header names the columns; of several files all must have the first one's header.
+    With `columns`, those are taken by name in that order, and one that the header lacks
+    is ''. Short rows are padded. Cells beyond the header have no name: a column
+    `surplus`, if wanted, has the whole line of such rows and NULL for others.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
-    return rows.select(*[tx.or_empty(F.col(f"`{c}`")).alias(c) for c in columns])
+    options = {
+        "header": True, "multiLine": True, "escape": '"', "enforceSchema": False,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    found = spark.read.options(**options).csv(path)
+    # Names come from the header alone, so reading them starts no job over the rows.
+    names = found.columns
+    if surplus:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, surplus]])
+        marked = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=surplus)
+        found = marked.csv(path)
+    cells = [
+        tx.or_empty(F.col(f"`{c}`")).alias(c) if c in names else F.lit("").alias(c)
+        for c in (names if columns is None else columns)
+    ]
+    short = F.col(f"`{names[-1]}`").isNull() if names else F.lit(True)
+    extra = [F.when(~short, F.col(f"`{surplus}`")).alias(surplus)] if surplus else []
+    return found.select(*cells, *extra)

@@ -46,14 +46,15 @@ def write_country_files(lines: DataFrame, path: str) -> None:
 def store_new(docs: DataFrame, path: str, key: str, order: Sequence[str]) -> DataFrame:
     """Append the documents whose key is not stored yet; returns the store."""
     spark = docs.sparkSession
-    fresh = ledger.first_seen(docs, key, order)
+    fresh = docs
     try:
+        # What is stored already leaves before its bodies would be shuffled.
         stored = spark.read.schema(docs.schema).parquet(path)
-        fresh = ledger.skip_done(fresh, stored, [key])
+        fresh = ledger.skip_done(docs, stored, [key])
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    fresh.write.mode("append").parquet(path)
+    ledger.first_seen(fresh, key, order).write.mode("append").parquet(path)
     return spark.read.schema(docs.schema).parquet(path)
 
 

@@ -6,6 +6,8 @@ import csv
 import json
 from pathlib import Path
 
+import pytest
+
 from recordloom.plans import jobs
 
 
@@ -69,10 +71,14 @@ def test_qualifications_and_merge(spark, tmp_path):
         "title": "Course", "countryCode.prefLabel": "Malta", "EQFLevel_prefLabel": "Level 6", "EQFLevel_numeric": "6",
         "learningOutcomeSummary.noteLiteral": "Summary", "learningOutcome_additionalNote": "one ; 2) two"}
 
-    jobs.merge_csv(spark, str(tmp_path / "lo"), str(tmp_path / "out"), list(lo), str(tmp_path / "all"))
+    jobs.merge_csv(spark, str(tmp_path / "lo"), str(tmp_path / "out"), str(tmp_path / "all"))
     merged = rows_of(tmp_path / "all")
     assert sorted(r["title"] for r in merged) == ["Course", "Other", "Welder, basic"]
 
+    (tmp_path / "wide.csv").write_text("a,b,c,d,e,f,g\n1,2,3,4,5,6,7\n")
+    with pytest.raises(ValueError, match="6 columns against 7"):
+        jobs.merge_csv(spark, str(tmp_path / "lo"), str(tmp_path / "wide.csv"), str(tmp_path / "none"))
+
     jobs.clean_csv(spark, str(tmp_path / "out"), list(rows["Other"]), "qualificationName",
                    str(tmp_path / "clean"), str(tmp_path / "audit"))
     assert len(rows_of(tmp_path / "clean")) == 2
@@ -97,6 +103,21 @@ def test_multilingual(spark, tmp_path):
     assert len(rows_of(tmp_path / "all")) == 3
 
 
+def test_ledger_of_item_pages(spark):
+    rows = [("x", 0, '{"items":[{"id":"1"},{"id":"1"},{"n":2}]}'), ("x", 10, '{"items":[]}'), ("y", 0, "no json")]
+    pages = spark.createDataFrame(rows, "cell string, `from` bigint, payload string")
+    got = {r.cell: r for r in jobs.crawl_ledger(pages, ["cell"], courses_only=False).collect()}
+    assert (got["x"].items, got["x"].new_items, got["x"].completed) == (3, 2, True)
+    assert (got["y"].items, got["y"].new_items, got["y"].completed) == (0, 0, False)
+
+
+def test_cells_with_many_lines_stay_open(spark):
+    stored = spark.range(100_003).selectExpr("'A' AS cell")
+    cells = spark.createDataFrame([("A",)], "cell string")
+    none = spark.createDataFrame([], "cell string")
+    assert jobs.open_requests(cells, none, stored, ["cell"]).first()["from"] == 100_000
+
+
 def test_listed_items_keep_what_has_no_id(spark):
     items = [{"id": 0}, {"id": 0}, {"id": ""}, {"id": None, "uri": "u"}, {"uri": "u"}, {"id": "", "uri": "u"}, {"n": 1}, {"id": "0"}, {"id": "0"}]
     pages = spark.createDataFrame([("A", 0, json.dumps({"items": items}))], "cell string, `from` int, payload string")

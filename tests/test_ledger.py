@@ -127,8 +127,10 @@ def test_completion(spark):
             ("broken", False, 0, None, None), ("capped", True, 1, 1, 9), ("capped", True, 1, 2, 9)]
     schema = "cell string, readable boolean, n_items bigint, page_number bigint, page_count bigint"
     pages = spark.createDataFrame(rows, schema).withColumn("from", F.lit(0))
-    got = {r.cell: r.completed for r in ledger.completed_cells(pages, ["cell"], max_pages=2).collect()}
-    assert got == {"empty": True, "last": True, "open": False, "broken": False, "capped": True}
+    got = {r.cell: (r.completed, r.capped) for r in ledger.completed_cells(pages, ["cell"], max_pages=2).collect()}
+    no = (False, False)
+    assert got == {"empty": (True, False), "last": (True, False), "open": no, "broken": no, "capped": (False, True)}
+    assert "capped" not in ledger.completed_cells(pages, ["cell"]).columns
 
 
 def test_positional_union_checks_width(spark):
