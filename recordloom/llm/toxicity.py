@@ -39,7 +39,7 @@ LEAST_LOG_ODDS = 2.0
 INSULTS = ["idiot", "moron", "stupid", "scum", "loser", "pathetic", "worthless", "disgusting", "trash", "clown"]
 SECOND_PERSON = ["you", "your", "yours", "u", "du", "dich", "dir", "ihr", "tu", "te", "toi", "vous", "usted", "ti"]
 # Characters that stand for letters in disguised words.
-DISGUISE = str.maketrans("013457@$!*", "oleastasi.")
+DISGUISE = str.maketrans("013457@$!*", "o.eastas..")
 NEAR = 6
 NAMES = [
     "hits", "hit_share", "weight", "weight_share", "distinct", "insults", "near_second", "second_share",
@@ -91,7 +91,7 @@ def _byte_rates(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(buffer) > 2:
         inner[0, 2:] = capital[2:] & capital[1:-1] & capital[:-2]
         inner[1, 2:] = letter[2:] & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
-        inner[2, 2:] = letter[2:] & disguise[1:-1] & letter[:-2]
+        inner[2, 2:] = letter[2:] & disguise[1:-1] & (letter[:-2] | (buffer[:-2] <= 32))
     found = [letter, capital, inner[0], sign, buffer == 33, inner[1], inner[2]]
     for k, flags in enumerate(found):
         out[:, k] = _per_text(flags, offsets)
