@@ -47,6 +47,7 @@ NAMES = [
     "repeats", "odd_share", "log_words",
 ]
 _EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "¡¿«»“”’…"
+_OPENING = _EDGES.translate(str.maketrans("", "", "@$!*"))
 _MARKED = re.compile(r"[^\W\d_][0-9@$*!]+[^\W\d_]|^[0-9@$][^\W\d_]{2}")
 _REPEAT = re.compile(r"([^\W\d_])\1{2,}")
 LONGEST_DISGUISE = 40
@@ -115,7 +116,7 @@ def _disguised(tokens: list[str], lexicon: dict[str, float], drawn_out: bool) ->
             continue
         if not _MARKED.search(token) and not _REPEAT.search(token):
             continue
-        plain = _REPEAT.sub(r"\1", token.translate(DISGUISE).strip(_EDGES))
+        plain = _REPEAT.sub(r"\1", token.rstrip(_EDGES).lstrip(_OPENING).translate(DISGUISE))
         found += plain in lexicon or _masked(plain, lexicon)
     return found
 
