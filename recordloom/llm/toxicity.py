@@ -306,6 +306,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, mod: int = 5) -> DataFrame
     """Training rows: documents with a label whose remainder is not 0."""
     marks = labels.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     picked = docs.filter(remainder(F.col("doc_id"), mod) != 0).select("doc_id", "text")
-    rows = picked.join(marks, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
+    # One plan at every size: labels grow with the documents and are not broadcast.
+    rows = picked.join(marks.hint("merge"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
     # Several passes follow; the joined rows are stored once.
     return stored(rows, "labelled")
