@@ -213,7 +213,19 @@ def outcomes_text(cell: Column) -> Column:
 # of every list, or else everything between the brackets.
 _FIRST_NOTE = rf'"additionalNote"{WS}*:{WS}*\[{WS}*"((?:[^"\\]++|\\[^\n\r\u2028\u2029])*+)"'
 _BRACKETS = rf'"additionalNote"{WS}*:{WS}*\[([^\]]+)\]'
-_UNQUOTED_COMMA = r',(?=(?:[^"]*+"[^"]*+")*+[^"]*+\z)'
+_PIECE = r'(?:[^",]++|"[^"]*+")'
+
+
+def _between_commas(c: Column) -> Column:
+    """Non-empty stretches between the commas that have an even number of quotes behind them.
+
+    Quotes pair up from the end, so with an odd number the first one ends a stretch's
+    quoted beginning.
+    """
+    quotes = F.length(F.regexp_replace(c, '[^"]++', ""))
+    odd = F.regexp_extract_all(c, F.lit(rf'\A[^"]*+"{_PIECE}*+|{_PIECE}++'), F.lit(0))
+    even = F.regexp_extract_all(c, F.lit(rf"{_PIECE}++"), F.lit(0))
+    return F.when(quotes % 2 == 1, odd).otherwise(even)
 
 
 def notes_text(cell: Column) -> Column:
@@ -243,7 +255,7 @@ def notes_text(cell: Column) -> Column:
         )
         inner = F.regexp_extract_all(t, F.lit(_BRACKETS), F.lit(1))
         bare = F.transform(
-            F.flatten(F.transform(inner, lambda x: F.split(x, _UNQUOTED_COMMA))),
+            F.flatten(F.transform(inner, _between_commas)),
             lambda p: F.btrim(p, F.lit(WS_CHARS + "\"'")),
         )
         return let(

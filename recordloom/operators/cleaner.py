@@ -75,28 +75,29 @@ def apply_hook(
     """Run a user's cleaner over Arrow batches; one result row per input row.
 
     The hook gets a batch with the text columns and returns, in the same order,
-    those columns cleaned plus `<column>_removed` lists. If a batch fails, its
-    rows are tried one by one, and only the failing rows carry an `error`.
+    those columns cleaned plus `<column>_removed` lists, and if it likes an `error`
+    column that names the rows it could not clean. A batch that raises is halved until
+    the failing rows stand alone, and only those carry the `error`.
     """
     texts = list(columns)
-    wanted = texts + [f"{c}_removed" for c in texts]
+    wanted = [*texts, *[f"{c}_removed" for c in texts], "error"]
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         result = hook(batch[texts].copy())
         if len(result) != len(batch):
             raise ValueError("row count changed")
         out = result.reindex(columns=wanted).reset_index(drop=True)
-        return out.assign(error=None)
-
-    def by_row(batch: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for i in range(len(batch)):
-            one = batch.iloc[i : i + 1].reset_index(drop=True)
-            try:
-                rows.append(run(one))
-            except Exception as e:  # a failing row becomes a dead letter
-                rows.append(pd.DataFrame({c: [None] for c in wanted}).assign(error=str(e)))
-        return pd.concat(rows, ignore_index=True)
+        return out.assign(error=[None if pd.isna(e) else str(e) for e in out["error"]])
+
+    def by_halves(batch: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(batch)
+        except Exception as e:  # a failing row becomes a dead letter
+            if len(batch) < 2:
+                return pd.DataFrame(None, batch.index, wanted, object).assign(error=str(e))
+        middle = len(batch) // 2
+        halves = [batch.iloc[:middle], batch.iloc[middle:]]
+        return pd.concat([by_halves(h.reset_index(drop=True)) for h in halves], ignore_index=True)
 
     def removed_list(value: object) -> list[str]:
         is_list = not isinstance(value, str) and hasattr(value, "__iter__")
@@ -105,10 +106,7 @@ def apply_hook(
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             part = part.reset_index(drop=True)
-            try:
-                result = run(part)
-            except Exception:  # find the rows at fault
-                result = by_row(part)
+            result = by_halves(part)
             out = part.copy()
             for c in texts:
                 got = result[c]

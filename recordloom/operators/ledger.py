@@ -22,6 +22,8 @@ from recordloom.constants import (
 from recordloom.functions import text as tx
 from recordloom.session import written_table
 
+SPAN_SLOTS = 4096
+
 # --- grid and requests ------------------------------------------------------
 
 
@@ -342,18 +344,28 @@ def stall_gaps(
     """Stretches of more than `seconds` without a row.
 
     Time is cut into slots as long as the limit. Two neighbours further apart
-    than that cannot share a slot, so first and last row of each slot decide;
-    the window runs over slots only.
+    than that cannot share a slot, so first and last row of each slot decide.
+    A window runs over each span of `SPAN_SLOTS` slots; from one span to the next, only
+    its first and last slot are compared, so no task orders all slots of a group.
     """
     width = seconds * 1_000_000
     slots = (
         log.withColumn("__t", ts_micros)
         .groupBy(*by, F.floor(F.col("__t") / width).alias("__slot"))
         .agg(F.min("__t").alias("__first"), F.max("__t").alias("__last"))
+        .withColumn("__span", F.floor(F.col("__slot") / SPAN_SLOTS))
+    )
+    inside = Window.partitionBy(*by, "__span").orderBy("__slot")
+    near = slots.select(
+        "*", F.lag("__last").over(inside).alias("__before"), F.lead("__slot").over(inside).alias("__next")
     )
-    before = F.lag("__last").over(Window.partitionBy(*by).orderBy("__slot"))
+    edge = F.col("__before").isNull() | F.col("__next").isNull()
+    kept = near.filter(edge | (F.col("__first") - F.col("__before") > width))
+    # Edges of all spans of a group meet, the other rows stay with their span.
+    across = Window.partitionBy(*by, F.when(~edge, F.col("__span"))).orderBy("__slot")
+    before = F.coalesce("__before", F.lag("__last").over(across))
     return (
-        slots.select(*by, before.alias("idle_from"), F.col("__first").alias("idle_to"))
+        kept.select(*by, before.alias("idle_from"), F.col("__first").alias("idle_to"))
         .withColumn("idle_micros", F.col("idle_to") - F.col("idle_from"))
         .filter(F.col("idle_micros") > width)
     )

@@ -49,3 +49,28 @@ def test_done_rows_are_skipped(spark):
     done = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     cleaned, audit = jobs.cleaned_with_audit(rows(spark, 5), "k", done)
     assert {r.k for r in cleaned.collect()} == {r.k for r in audit.collect()} == {0, 3, 4}
+
+
+def test_one_bad_row_costs_few_calls(spark):
+    calls = []
+
+    def hook(batch):
+        calls.append(len(batch))
+        if (batch["description"] == "boom").any():
+            raise ValueError("no")
+        return batch.assign(description_removed=[[str(len(calls))]] * len(batch))
+
+    data = [(i, "boom" if i == 63 else "fine", "lo") for i in range(64)]
+    one_task = spark.createDataFrame(data, "k int, description string, learningOutcomes string").coalesce(1)
+    got = cleaner.apply_hook(one_task, "k", hook).collect()
+    assert [r.error for r in got] == [None] * 63 + ["no"]
+    # The last good row comes one call before the bad one, at most 2 * log2(64) + 1 in all.
+    assert max(int(r.description_removed[0]) for r in got if not r.error) <= 12
+
+
+def test_a_hook_may_name_its_bad_rows(spark):
+    def hook(batch):
+        return batch.assign(error=["no" if d == "boom" else None for d in batch["description"]])
+
+    got = {r.k: r.error for r in cleaner.hook_rows(cleaner.apply_hook(rows(spark), "k", hook), "k").collect()}
+    assert got == {k: "no" if k % 7 == 3 else None for k in range(20)}

@@ -107,6 +107,18 @@ def test_stall_gaps(spark):
     assert got == expected and expected
 
 
+def test_stall_gaps_across_spans(spark):
+    rng = random.Random(6)
+    times = sorted(rng.sample(range(100_000), 8_000)) + [400_000, 400_001, 900_000]
+    df = spark.createDataFrame([(t * 1_000_000,) for t in times], "t bigint").repartition(5)
+    gaps = ledger.stall_gaps(df, F.col("t"), seconds=7)
+    got = {(r.idle_from // 1_000_000, r.idle_to // 1_000_000) for r in gaps.collect()}
+    expected = {(a, b) for a, b in zip(times, times[1:], strict=False) if b - a > 7}
+    assert got == expected and expected
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 def test_resume_offsets(spark):
     grid = spark.createDataFrame([(c,) for c in "abcd"], "cell string")
     stored = spark.createDataFrame([(c,) for c, n in zip("bcd", [9, 10, 25], strict=True) for _ in range(n)], "cell string")
