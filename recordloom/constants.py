@@ -39,11 +39,12 @@ FILLER_PHRASES = [
 ]
 
 # ISO-3 country codes of the work grid, and the EQF levels.
-COUNTRY_CODES = (
-    "ALA ALB AUT BEL BGR CYP CZE DNK EST FIN FRA GUF DEU GRC GLP "
-    "HUN ISL IRL ITA LVA LIE LTU LUX MLT MTQ MYT MDA MNE NLD MKD "
-    "NOR POL PRT REU ROU MAF SRB SVK SVN ESP SWE TUR UKR"
-).split()
+COUNTRY_CODES = [
+    "ALA", "ALB", "AUT", "BEL", "BGR", "CYP", "CZE", "DNK", "EST", "FIN", "FRA", "GUF",
+    "DEU", "GRC", "GLP", "HUN", "ISL", "IRL", "ITA", "LVA", "LIE", "LTU", "LUX", "MLT",
+    "MTQ", "MYT", "MDA", "MNE", "NLD", "MKD", "NOR", "POL", "PRT", "REU", "ROU", "MAF",
+    "SRB", "SVK", "SVN", "ESP", "SWE", "TUR", "UKR",
+]
 LEVELS = list(range(1, 9))
 
 # Vocabulary prefixes and parameters of a search request.

@@ -14,7 +14,7 @@ from recordloom.functions import text as tx
 from recordloom.functions.text import let
 
 TEXT_COLUMNS = ("description", "learningOutcomes")
-MISSING = "Missing required fields in response"
+MISSING = "the cleaner left out a text column"
 
 
 def clean_text(c: Column) -> Column:
