@@ -189,27 +189,47 @@ def crawl_ledger(
 # --- from files to files --------------------------------------------------------
 
 
-def lo_files_to_csv(spark: SparkSession, folder: str, out: str) -> None:
-    """A folder of learning-opportunity documents to CSV, quotes where needed."""
+def lo_files_to_csv(spark: SparkSession, folder: str, out: str, dead: str | None = None) -> None:
+    """A folder of learning-opportunity documents to CSV, quotes where needed.
+
+    Documents that cannot be read go to `dead` with their body, if it is given."""
     docs = readers.read_documents(spark, folder, recursive=False)
     writers.write_csv(lo_dataset(docs.withColumn("file", F.col("name"))), out)
+    if dead:
+        writers.write_dead_documents(docs, dead)
 
 
 def qual_files_to_csv(
-    spark: SparkSession, folder: str, out: str, rows_per_file: int | None = None
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    rows_per_file: int | None = None,
+    dead: str | None = None,
 ) -> None:
-    """A tree of qualification documents to CSV, every cell quoted."""
+    """A tree of qualification documents to CSV, every cell quoted.
+
+    Documents that cannot be read go to `dead` with their body, if it is given."""
     docs = readers.read_documents(spark, folder)
     writers.write_csv(qual_dataset(docs), out, quote_all=True, rows_per_file=rows_per_file)
+    if dead:
+        writers.write_dead_documents(docs, dead)
 
 
 def multilingual_files_to_csv(
-    spark: SparkSession, root: str, out: str, require_outcome: bool = True
+    spark: SparkSession,
+    root: str,
+    out: str,
+    require_outcome: bool = True,
+    dead: str | None = None,
 ) -> None:
-    """Folders named by country, with multilingual documents, to CSV."""
+    """Folders named by country, with multilingual documents, to CSV.
+
+    Documents that cannot be read go to `dead` with their body, if it is given."""
     docs = readers.read_documents(spark, f"{root}/*", recursive=False)
     rows = extract.multilingual_records(docs, folder="folder", require_outcome=require_outcome)
     writers.write_csv(rows, out)
+    if dead:
+        writers.write_dead_documents(docs, dead)
 
 
 def clean_csv(

@@ -34,12 +34,16 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor reaches: `spark.checkpoint.dir` of the session.
 
-    A folder on this machine is used only where the setting is absent (tests).
+    Where the setting is absent, a session on this machine alone (tests) takes a
+    temporary folder; on a cluster that is an error, as no executor could read it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     base = base or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _LOCAL_BASE:
         _LOCAL_BASE.append(tempfile.mkdtemp(prefix="recordloom-"))
     return _LOCAL_BASE[0]

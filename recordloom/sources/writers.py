@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions import text as tx
-from recordloom.operators import ledger
+from recordloom.operators import extract, ledger
+from recordloom.session import written_table
 
 
 def write_ndjson(
@@ -154,11 +155,25 @@ def write_shards(
 
 
 def write_split(df: DataFrame, reason: str, good_path: str, dead_path: str) -> None:
-    """Rows without a reason to one table, dead letters to another."""
+    """Rows without a reason to one table, dead letters to another.
+
+    The marked rows are stored first, so that the plan behind them runs once and both
+    tables come from the same rows.
+    """
+    df = written_table(df, "marked")
     df.filter(F.col(reason).isNull()).drop(reason).write.mode("append").parquet(good_path)
     df.filter(F.col(reason).isNotNull()).write.mode("append").parquet(dead_path)
 
 
+def write_dead_documents(docs: DataFrame, path: str) -> None:
+    """Files whose body is no record, as JSON lines with the reason and the body.
+
+    They replace those of an earlier run.
+    """
+    dead = extract.malformed(docs).select("file", F.lit("bad json").alias("reason"), "body")
+    dead.write.mode("overwrite").json(path)
+
+
 def write_audit(audit: DataFrame, path: str) -> None:
     """Audit rows keep their nested form."""
     audit.write.mode("append").parquet(path)

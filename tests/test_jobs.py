@@ -54,7 +54,10 @@ def test_qualifications_and_merge(spark, tmp_path):
     put(tmp_path / "q" / "AUT" / "b" / "c.JSON", {**QUAL, "title": "Other"})
     put(tmp_path / "q" / "bad.json", "{")
     put(tmp_path / "q" / "empty.json", {**QUAL, "learningOutcome": []})
-    jobs.qual_files_to_csv(spark, str(tmp_path / "q"), str(tmp_path / "out"), rows_per_file=1)
+    jobs.qual_files_to_csv(
+        spark, str(tmp_path / "q"), str(tmp_path / "out"), rows_per_file=1, dead=str(tmp_path / "dead"))
+    (lost,) = spark.read.json(str(tmp_path / "dead")).collect()
+    assert (lost.file.rpartition("/")[2], lost.reason, lost.body) == ("bad.json", "bad json", "{")
     rows = {r["qualificationName"]: r for r in rows_of(tmp_path / "out")}
     assert set(rows) == {"Welder, basic", "Other"}
     assert list(rows["Other"]) == [
@@ -65,7 +68,8 @@ def test_qualifications_and_merge(spark, tmp_path):
 
     put(tmp_path / "l" / "one.json", LO)
     put(tmp_path / "l" / "two.json", {**LO, "title": " "})
-    jobs.lo_files_to_csv(spark, str(tmp_path / "l"), str(tmp_path / "lo"))
+    jobs.lo_files_to_csv(spark, str(tmp_path / "l"), str(tmp_path / "lo"), dead=str(tmp_path / "no_dead"))
+    assert spark.read.text(str(tmp_path / "no_dead")).isEmpty()
     (lo,) = rows_of(tmp_path / "lo")
     assert lo == {
         "title": "Course", "countryCode.prefLabel": "Malta", "EQFLevel_prefLabel": "Level 6", "EQFLevel_numeric": "6",
@@ -99,7 +103,10 @@ def test_multilingual(spark, tmp_path):
     assert {k: v for k, v in rows[0].items() if k != "country"} == {
         "title": "T", "qualificationLevel": "Niveau 5.5", "qualificationLevelNum": "5.5", "description": "D",
         "learningOutcome": "b | c", "uri": "http://x.org/q/1"}
-    jobs.multilingual_files_to_csv(spark, str(tmp_path / "in"), str(tmp_path / "all"), require_outcome=False)
+    put(tmp_path / "in" / "FRA" / "d.json", "null")
+    jobs.multilingual_files_to_csv(
+        spark, str(tmp_path / "in"), str(tmp_path / "all"), require_outcome=False, dead=str(tmp_path / "dead"))
+    assert [r.body for r in spark.read.json(str(tmp_path / "dead")).collect()] == ["null"]
     assert len(rows_of(tmp_path / "all")) == 3
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 import random
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from recordloom.functions import variants as vx
 from recordloom.operators import ledger
+from recordloom.session import shared_dir
 from recordloom.sources import readers, writers
 
 
@@ -160,3 +162,15 @@ def test_pages(spark):
     assert [r.id for r in ledger.page_of(spark.range(30), ["id"], 20, 5).collect()] == list(range(20, 25))
     far = ledger.page_of(spark.range(30_000), ["id"], 29_990, 20).collect()
     assert [r.id for r in far] == list(range(29_990, 30_000))
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    def session(master, folder):
+        conf = SimpleNamespace(get=lambda key: folder)
+        context = SimpleNamespace(master=master, getConf=lambda: conf)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+
+    assert shared_dir(session("spark://host:7077", "/shared/")) == "/shared"
+    assert shared_dir(session("local[2]", None))
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        shared_dir(session("spark://host:7077", None))
