@@ -319,8 +319,12 @@ def _item_drop(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over a growing folder; the second takes only the new files."""
     out, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
-    drop = _item_drop(spark, sf_dir)
-    for _ in range(2):
+    drop = scratch_path(spark, "drop")
+    # Both halves land, the second one after the first run.
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for arrival in range(2):
+        items = ad.list_items(spark, sf_dir).filter(half == arrival)
+        items.repartition(4, "doc_id").write.mode("append").json(drop)
         stream = ingest.list_item_stream(spark, drop, _ITEM_SCHEMA, files_per_batch=2)
         ingest.ingest_files(stream, out, state)
     return spark.read.parquet(out).select("doc_id", "level", "uri")
