@@ -120,7 +120,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = wavelet.shard_folder(spark)
     file = tokenizer_file("byte_bpe_50k.json")
-    wavelet.write_shards(documents(spark, sf_dir), file, path, end_id=2)
+    wavelet.write_shards(documents(spark, sf_dir), file, path, end_id=2, added_tokens=True)
     return wavelet.read_shards(spark, path)
 
 

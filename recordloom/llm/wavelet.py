@@ -10,13 +10,16 @@ leaves nothing behind.
 Documents are range-partitioned by key; a task fills its shards one after the other
 and holds one shard at a time. A document lies in one shard.
 
-Defined results: a null or empty text has the end id only. Repeated keys keep all
+Defined results: an added token of the tokenizer (such as `<|endoftext|>`) is text like any
+other, or with `added_tokens` has its own id, as in the library's own call on whole texts.
+A null or empty text has the end id only. Repeated keys keep all
 rows, ordered by text. Rows without a key come first.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -129,31 +132,46 @@ class WaveletMatrix:
         return value
 
 
-_TOKENIZERS: dict[int, tuple] = {}
+_TOKENIZERS: dict[tuple[int, bool], tuple] = {}
 
 
-def _tokenizer(config) -> tuple:
-    """Tokenizer of this worker, and the pieces it has met."""
+def _tokenizer(config, added_tokens: bool) -> tuple:
+    """Tokenizer of this worker, the pieces it has met, and its added tokens by text."""
     text = config.value
-    key = zlib.crc32(text.encode())
+    key = zlib.crc32(text.encode()), added_tokens
     if key not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_str(text)
-        made.encode_special_tokens = True
+        made.encode_special_tokens = not added_tokens
+        added = made.get_added_tokens_decoder() if added_tokens else {}
         _TOKENIZERS.clear()
-        _TOKENIZERS[key] = made, arrays.PieceTable()
+        _TOKENIZERS[key] = made, arrays.PieceTable(), {t.content: (i, t) for i, t in added.items()}
     return _TOKENIZERS[key]
 
 
-def _encode(config, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _added_places(
+    points: np.ndarray, offsets: np.ndarray, ids: dict[str, int]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and id of the added tokens in the texts: the first, of these the longest."""
+    pattern = re.compile("|".join(map(re.escape, sorted(ids, key=len, reverse=True))))
+    joined = points.tobytes().decode("utf-32-le")
+    found = []
+    if pattern.search(joined):
+        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            found += [(*m.span(), ids[m.group()]) for m in pattern.finditer(joined, lo, hi)]
+    return tuple(np.array(found, np.int64).reshape(-1, 3).T)
+
+
+def _encode(config, column: pa.Array, added_tokens: bool) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and each text's number of ids.
 
-    The library encodes every distinct pretoken once; it splits a text in the same
-    pretokens by itself and treats each alone, so the ids are those of whole texts.
+    The library encodes every distinct pretoken once; it cuts a text at the added tokens,
+    splits the stretches between them in the same pretokens by itself and treats each
+    alone, so the ids are those of whole texts.
     """
-    made, table = _tokenizer(config)
+    made, table, added = _tokenizer(config, added_tokens)
 
     def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [], []
@@ -164,11 +182,32 @@ def _encode(config, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 sizes.append(len(got))
         return np.array(ids, np.uint32), np.array(sizes, np.int64)
 
+    # Tokens that take in blanks, match whole words only or wait for others are left to the library.
+    kinds = {t.normalized for _, t in added.values()}
+    if len(kinds) > 1 or any(t.lstrip or t.rstrip or t.single_word for _, t in added.values()):
+        return pieces([t or "" for t in column.to_pylist()])
     points, offsets = arrays.code_points(*arrays.text_buffer(column))
+    marked = np.zeros(len(column), bool)
+    if added:
+        first, last, own = _added_places(points, offsets, {c: i for c, (i, _) in added.items()})
+        if len(first):
+            # A stretch begins with each text and after each added token, whose id goes before it.
+            begins = np.concatenate([offsets[:-1], first])
+            order = np.argsort(begins, kind="stable")
+            marked = order >= len(column)
+            inside = np.zeros(len(points) + 1, np.int64)
+            np.add.at(inside, first, 1)
+            np.add.at(inside, last, -1)
+            left = np.cumsum(inside)[:-1] == 0
+            before = np.concatenate([[0], np.cumsum(left)])
+            points, offsets = points[left], before[np.append(begins[order], offsets[-1])]
     begin, length, hashes, at = arrays.pretokens(points, offsets)
     ids, sizes = table.encode(points, begin, length, hashes, pieces)
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    return ids, np.diff(ends[at])
+    ends = np.concatenate([[0], np.cumsum(sizes)])[at]
+    if marked.any():
+        ids = np.insert(ids, ends[:-1][marked], own)
+        return ids, np.add.reduceat(np.diff(ends) + marked, np.flatnonzero(~marked))
+    return ids, np.diff(ends)
 
 
 def _shard(bits: int, ids: list, sizes: list, keys: list, seq: int, before: int) -> dict:
@@ -192,9 +231,17 @@ _SHARD_SCHEMA = (
 
 
 def write_shards(
-    docs: DataFrame, tokenizer_file: str, path: str, end_id: int, shard_tokens: int = SHARD_TOKENS
+    docs: DataFrame,
+    tokenizer_file: str,
+    path: str,
+    end_id: int,
+    shard_tokens: int = SHARD_TOKENS,
+    added_tokens: bool = False,
 ) -> None:
-    """Write the ids of `docs` (`doc_id`, `text`), ascending by doc_id, as shards."""
+    """Write the ids of `docs` (`doc_id`, `text`), ascending by doc_id, as shards.
+
+    With `added_tokens` the tokenizer's added tokens are found in the texts.
+    """
     spark = ship(docs.sparkSession)
     config = spark.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
 
@@ -202,8 +249,8 @@ def write_shards(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        made, _ = _tokenizer(config)
-        bits = max(int(made.get_vocab_size()) - 1, end_id, 1).bit_length()
+        made, _, _ = _tokenizer(config, added_tokens)
+        bits = max(int(made.get_vocab_size()) - 1, end_id, 1, *made.get_added_tokens_decoder()).bit_length()
         ids, sizes, keys, held, seq, before = [], [], [], 0, 0, 0
 
         def row() -> pa.RecordBatch:
@@ -217,7 +264,7 @@ def write_shards(
         from recordloom.llm.bpe import _parts
 
         for batch in _parts(batches, "text"):
-            got, n = _encode(config, batch["text"])
+            got, n = _encode(config, batch["text"], added_tokens)
             ends = np.cumsum(n)
             # The end id follows the last id of each document.
             ids.append(np.insert(got, ends, end_id))
