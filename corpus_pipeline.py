@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written a
 and read again as the next one's docs. All but the last give the columns of documents.
 
 1. toxicity: documents predicted toxic go (learned from the labels of `sf_dir`).
-2. near_dedup: of each group of near duplicates the smallest doc_id stays.
+2. near_dedup: of each group of near duplicates (similarity of 0.80 or more) the smallest doc_id stays.
 3. secrets: secrets in the texts are replaced by a mark; no document goes.
 4. mixing: whole documents, as often as the mix of sources takes them; documents without
    words stay once.
@@ -21,6 +21,9 @@ from recordloom.llm import bpe, mixing, near_dedup, secrets, toxicity
 from recordloom.llm.queries import tokenizer_file
 from recordloom.llm.ship import documents, ship, stored
 
+# Percent of shared 5-word shingles that makes two documents near duplicates.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -30,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.without_duplicates(docs)
+    return near_dedup.without_duplicates(docs, NEAR_PERCENT)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """MinHash near-duplicate classes by tensored banding, with exact verification.
 
-Each distinct shingle set gets two small collections of `HALVES` keys, each key made
+Each distinct shingle set gets two small collections of `halves` keys, each key made
 of `ROWS` min-hashes. Table (p, q) pairs key p of the first collection with key q of
-the second, so 2 * HALVES * ROWS min-hashes give HALVES ** 2 tables. Two sets with a
-similarity of 0.85 share no table with a probability of about 2e-5.
+the second, so 2 * halves * ROWS min-hashes give halves ** 2 tables. `halves` follows
+from the threshold: two sets with just that similarity share no table with a probability
+of about 2e-5 (12 halves at 0.85, 16 at 0.80).
 
 Documents with the same set form one class before anything else, so copies cost one
 row. In each bucket every member is compared with the bucket's first member; where
@@ -17,7 +18,9 @@ without doc_id takes part; it is kept only if its component has no doc_id at all
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +30,47 @@ from pyspark.sql import functions as F
 from recordloom.llm import arrays
 from recordloom.llm.ship import ship, stored
 
-HALVES = 12
 ROWS = 3
-PERCENT = 85
 BLOCK = 1024
 PART = 512
-# A pair of similarity 0.85 agrees in 61 of 72 min-hashes, give or take 3.
-LEAST_AGREEING = 45
-_HASHES = 2 * HALVES * ROWS
-_FACTORS = arrays.mix(np.arange(1, _HASHES + 1, dtype=np.uint64)) | np.uint64(1)
-
-
-def _min_hashes(shingles: np.ndarray) -> np.ndarray:
-    lowest = np.full(_HASHES, 2**32 - 1, np.uint64)
+# Chances to miss a pair of just the threshold: in no table, or by too few agreeing min-hashes.
+MISSED = 2.5e-5
+UNLIKE = 1e-6
+
+
+@dataclass(frozen=True)
+class Banding:
+    """Threshold of a link in percent, and the tables that find pairs of it."""
+
+    percent: int
+    halves: int
+    least_agreeing: int
+
+    @classmethod
+    def of(cls, percent: int) -> Banding:
+        if not 0 < percent <= 100:
+            raise ValueError(f"the threshold is a percentage above 0, up to 100; got {percent}")
+        alike = percent / 100
+        halves = 1
+        while 1 - (1 - (1 - alike**ROWS) ** halves) ** 2 > MISSED:
+            halves += 1
+        n = 2 * halves * ROWS
+        least, below = 0, (1 - alike) ** n
+        while below <= UNLIKE and least < n:
+            least += 1
+            below += math.comb(n, least) * alike**least * (1 - alike) ** (n - least)
+        return cls(percent, halves, least)
+
+    @property
+    def hashes(self) -> int:
+        return 2 * self.halves * ROWS
+
+
+def _min_hashes(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    lowest = np.full(len(factors), 2**32 - 1, np.uint64)
     with np.errstate(over="ignore"):
         for lo in range(0, len(shingles), 1 << 14):
-            part = shingles[lo : lo + (1 << 14), None] * _FACTORS
+            part = shingles[lo : lo + (1 << 14), None] * factors
             lowest = np.minimum(lowest, part.min(axis=0) >> np.uint64(32))
     return lowest.astype(np.uint32)
 
@@ -53,13 +81,14 @@ def _class_id(shingles: np.ndarray) -> int:
         return int(arrays.mix(np.array([total]))[0].astype(np.int64))
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], band: Banding) -> Iterator[pa.RecordBatch]:
+    factors = arrays.mix(np.arange(1, band.hashes + 1, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
         sizes, ids, mins = [], [], []
         for shingles in arrays.shingle_sets(*arrays.text_buffer(batch["text"])):
             sizes.append(len(shingles))
             ids.append(_class_id(shingles) if len(shingles) else None)
-            mins.append(_min_hashes(shingles).tobytes() if len(shingles) else None)
+            mins.append(_min_hashes(shingles, factors).tobytes() if len(shingles) else None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"],
@@ -84,26 +113,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _half_keys(mins: np.ndarray) -> np.ndarray:
-    """rows x (2 * HALVES) keys of `ROWS` min-hashes each."""
-    parts = mins.reshape(len(mins), 2 * HALVES, ROWS).astype(np.uint64)
+    """rows x (2 * halves) keys of `ROWS` min-hashes each."""
+    parts = mins.reshape(len(mins), -1, ROWS).astype(np.uint64)
     key = np.zeros(parts.shape[:2], np.uint64)
     for r in range(ROWS):
         key = arrays.mix(key ^ (parts[:, :, r] + np.uint64(r + 1)))
     return key
 
 
-def _min_matrix(column: pa.Array) -> np.ndarray:
+def _min_matrix(column: pa.Array, band: Banding) -> np.ndarray:
     data = b"".join(column.to_pylist())
-    return np.frombuffer(data, np.uint32).reshape(len(column), _HASHES)
+    return np.frombuffer(data, np.uint32).reshape(len(column), band.hashes)
 
 
-def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables = np.arange(HALVES * HALVES, dtype=np.uint64) << np.uint64(32)
+def _table_keys(batches: Iterator[pa.RecordBatch], band: Banding) -> Iterator[pa.RecordBatch]:
+    halves = band.halves
+    tables = np.arange(halves * halves, dtype=np.uint64) << np.uint64(32)
     for batch in batches:
         for lo in range(0, batch.num_rows, 2048):
             part = batch.slice(lo, 2048)
-            half = _half_keys(_min_matrix(part["mins"]))
-            first, second = half[:, :HALVES, None], half[:, None, HALVES:]
+            half = _half_keys(_min_matrix(part["mins"], band))
+            first, second = half[:, :halves, None], half[:, None, halves:]
             with np.errstate(over="ignore"):
                 pairs = (first * np.uint64(3) + second).reshape(len(half), -1)
             keys = arrays.mix(pairs ^ tables)
@@ -111,7 +141,7 @@ def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys.ravel().view(np.int64)),
-                    pa.array(np.repeat(cids, HALVES * HALVES)),
+                    pa.array(np.repeat(cids, halves * halves)),
                 ],
                 ["key", "cid"],
             )
@@ -143,7 +173,7 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         key, first = keys[-1], int(pivot[-1])
 
 
-def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[float, bool]:
+def _overlap(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[float, bool]:
     """Distance of two sorted sets, and whether they are linked."""
     if len(x) > len(y):
         x, y = y, x
@@ -151,13 +181,13 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[float, bool]:
     place[place == len(y)] = 0
     both = int((y[place] == x).sum())
     union = len(x) + len(y) - both
-    return 1 - both / union, 100 * both >= PERCENT * union
+    return 1 - both / union, 100 * both >= percent * union
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measured(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [
-            _overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+            _overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent)
             for a, b in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
@@ -171,12 +201,12 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (`a`, `b`) with their distance and whether they are linked, by full sets."""
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(
-        _measured, "a long, b long, far double, linked boolean"
+        lambda batches: _measured(batches, percent), "a long, b long, far double, linked boolean"
     )
 
 
@@ -215,11 +245,12 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
             return labels
 
 
-def _open_pairs(group: pa.Table, parts: int) -> pa.Table:
+def _open_pairs(group: pa.Table, parts: int, band: Banding) -> pa.Table:
     """Pairs of a block pair that may be similar and are in different components.
 
     A pair is given by one table only: the first in which both collections agree.
     """
+    halves, percent = band.halves, band.percent
     cids = group["cid"].to_numpy()
     labels = group["label"].to_numpy()
     sizes = group["n"].to_numpy()
@@ -227,33 +258,33 @@ def _open_pairs(group: pa.Table, parts: int) -> pa.Table:
     blocks = group["block"].to_numpy()
     lo, hi = int(group["lo"][0].as_py()), int(group["hi"][0].as_py())
     key = np.int64(group["key"][0].as_py())
-    mins = _min_matrix(group["mins"].combine_chunks())
+    mins = _min_matrix(group["mins"].combine_chunks(), band)
     half = _half_keys(mins)
     with np.errstate(over="ignore"):
         tables = arrays.mix(
-            (half[0, :HALVES, None] * np.uint64(3) + half[0, None, HALVES:]).ravel()
-            ^ (np.arange(HALVES * HALVES, dtype=np.uint64) << np.uint64(32))
+            (half[0, :halves, None] * np.uint64(3) + half[0, None, halves:]).ravel()
+            ^ (np.arange(halves * halves, dtype=np.uint64) << np.uint64(32))
         )
     table = int(np.flatnonzero(tables.view(np.int64) == key)[0])
-    p, q = divmod(table, HALVES)
+    p, q = divmod(table, halves)
     left, right = np.flatnonzero(blocks == lo), np.flatnonzero(blocks == hi)
     out_a, out_b = [], []
     for i in left:
         other = right[cids[right] > cids[i]] if lo == hi else right
         other = other[labels[other] != labels[i]]
         small, large = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
-        other = other[100 * small >= PERCENT * large]
+        other = other[100 * small >= percent * large]
         # Jaccard distance is a metric: two that lie apart by more than a link allows, as
         # seen from the bucket's first member, are not linked.
-        other = other[np.abs(far[other] - far[i]) <= 1 - PERCENT / 100 + 1e-9]
+        other = other[np.abs(far[other] - far[i]) <= 1 - percent / 100 + 1e-9]
         # Shingles that no other open set has are in no intersection.
         most = np.minimum(sizes[other] - own[other], sizes[i] - own[i])
-        other = other[100 * most >= PERCENT * (sizes[other] + sizes[i] - most)]
+        other = other[100 * most >= percent * (sizes[other] + sizes[i] - most)]
         if not len(other):
             continue
         same = half[other] == half[i]
-        first = (same[:, :HALVES].argmax(1) == p) & (same[:, HALVES:].argmax(1) == q)
-        close = (mins[other] == mins[i]).sum(1) >= LEAST_AGREEING
+        first = (same[:, :halves].argmax(1) == p) & (same[:, halves:].argmax(1) == q)
+        close = (mins[other] == mins[i]).sum(1) >= band.least_agreeing
         other = other[first & close]
         out_a += [np.full(len(other), cids[i])]
         out_b += [cids[other]]
@@ -293,7 +324,7 @@ def _members(packs: pa.Table) -> pa.Table:
     )
 
 
-def _linked_pairs(packs: pa.Table, sets: pa.Table) -> pa.Table:
+def _linked_pairs(packs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
     """The pairs of one combination of parts that are linked, by their full sets."""
     known = {
         cid: np.frombuffer(data, np.uint64)
@@ -302,7 +333,7 @@ def _linked_pairs(packs: pa.Table, sets: pa.Table) -> pa.Table:
     out: dict[str, list[int]] = {"a": [], "b": []}
     for row in packs.to_pylist():
         for a, b in zip(row["a"], row["b"], strict=True):
-            if _overlap(known[a], known[b])[1]:
+            if _overlap(known[a], known[b], percent)[1]:
                 out["a"].append(a)
                 out["b"].append(b)
     return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
@@ -331,7 +362,12 @@ def _own_shingles(sets: DataFrame, open_: DataFrame) -> DataFrame:
 
 
 def _remaining(
-    buckets: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, stars: DataFrame
+    buckets: DataFrame,
+    labels: DataFrame,
+    classes: DataFrame,
+    sets: DataFrame,
+    stars: DataFrame,
+    band: Banding,
 ) -> DataFrame:
     """Links of a bucket beyond those with its first member, across components.
 
@@ -364,7 +400,7 @@ def _remaining(
     parts = max(1, -(-open_rows.select("cid").distinct().count() // PART))
     packs = stored(
         rows.groupBy("key", "lo", "hi").applyInArrow(
-            lambda group: _open_pairs(group, parts),
+            lambda group: _open_pairs(group, parts, band),
             "part_a int, part_b int, a array<long>, b array<long>",
         ),
         "pairs",
@@ -377,16 +413,20 @@ def _remaining(
     return (
         packs.groupBy("part_a", "part_b")
         .cogroup(needed.groupBy("part_a", "part_b"))
-        .applyInArrow(_linked_pairs, "a long, b long")
+        .applyInArrow(lambda p, s: _linked_pairs(p, s, band.percent), "a long, b long")
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """`doc_id, n_shingles, component_id, kept` for every document (`doc_id, text`)."""
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """`doc_id, n_shingles, component_id, kept` for every document (`doc_id, text`).
+
+    Two documents are linked if their sets have a similarity of `percent` or more.
+    """
+    band = Banding.of(percent)
     ship(docs.sparkSession)
     sketches = stored(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-            _sketches, "doc_id long, n_shingles long, cid long, mins binary"
+            lambda batches: _sketches(batches, band), "doc_id long, n_shingles long, cid long, mins binary"
         ),
         "sketches",
     )
@@ -400,7 +440,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    keys = classes.select("cid", "mins").mapInArrow(_table_keys, "key long, cid long")
+    keys = classes.select("cid", "mins").mapInArrow(
+        lambda batches: _table_keys(batches, band), "key long, cid long"
+    )
     buckets = stored(
         keys.repartition("key")
         .sortWithinPartitions("key", "cid")
@@ -417,10 +459,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["cid"]),
         "sets",
     )
-    stars = stored(measured(stars, sets), "stars")
+    stars = stored(measured(stars, sets, percent), "stars")
     links = stars.filter("linked").select("a", "b")
     labels = components(links, "star")
-    remaining = _remaining(buckets, labels, classes, sets, stars)
+    remaining = _remaining(buckets, labels, classes, sets, stars, band)
     more = stored(remaining, "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), "all")
@@ -436,9 +478,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_duplicates(docs: DataFrame) -> DataFrame:
+def without_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One document of each component: that of the smallest doc_id, one row of it."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    kept = near_duplicates(docs).filter("kept").select(key.alias("__key")).distinct()
+    kept = near_duplicates(docs, percent).filter("kept").select(key.alias("__key")).distinct()
     rows = docs.withColumn("__key", key).join(kept, "__key", "left_semi")
     return rows.dropDuplicates(["__key", "text"]).select(*docs.columns)
