@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.llm import arrays
 from recordloom.llm.ship import ship, stored
@@ -417,11 +418,8 @@ def _remaining(
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """`doc_id, n_shingles, component_id, kept` for every document (`doc_id, text`).
-
-    Two documents are linked if their sets have a similarity of `percent` or more.
-    """
+def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' sketches, and (`cid`, `rep`, `label`): each class with its component."""
     band = Banding.of(percent)
     ship(docs.sparkSession)
     sketches = stored(
@@ -469,6 +467,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     placed = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cid", "rep", F.coalesce("label", "cid").alias("label")
     )
+    return sketches, placed
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """`doc_id, n_shingles, component_id, kept` for every document (`doc_id, text`).
+
+    Two documents are linked if their sets have a similarity of `percent` or more.
+    """
+    sketches, placed = _placed(docs, percent)
     lowest = placed.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = placed.join(lowest, "label").select("cid", "component_id")
     found = sketches.select("doc_id", "n_shingles", "cid").join(named, "cid", "left")
@@ -478,9 +485,45 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
+def _with_class(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [
+            _class_id(shingles) if len(shingles) else None
+            for shingles in arrays.shingle_sets(*arrays.text_buffer(batch.column(batch.num_columns - 1)))
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.int64())], names)
+
+
 def without_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each component: that of the smallest doc_id, one row of it."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    kept = near_duplicates(docs, percent).filter("kept").select(key.alias("__key")).distinct()
-    rows = docs.withColumn("__key", key).join(kept, "__key", "left_semi")
-    return rows.dropDuplicates(["__key", "text"]).select(*docs.columns)
+    """One row of each component: of the smallest doc_id, or of a row without one if none has it.
+
+    Rows with the empty set are in no component and all stay. Of several rows with that
+    doc_id in one class, the one with the smallest text stays.
+    """
+    _, placed = _placed(docs, percent)
+    first = F.struct(F.col("rep").isNull(), "rep", "cid")
+    best = placed.groupBy("label").agg(F.min_by(F.struct("cid", "rep"), first).alias("best"))
+    # The id is part of the key: many copies of one text with ids of their own are many keys.
+    by = ["__cid", "__none", "__id"]
+    kept = best.select(
+        F.col("best.cid").alias("__cid"),
+        F.col("best.rep").isNull().alias("__none"),
+        F.coalesce("best.rep", F.lit(0)).alias("__id"),
+    )
+    text, doc_id = F.col("text").cast("string"), F.col("doc_id").cast("long")
+    filled = F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.filter(filled).select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row"),
+        doc_id.isNull().alias("__none"),
+        F.coalesce(doc_id, F.lit(0)).alias("__id"),
+        text.alias("__cid"),
+    )
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__cid", T.LongType())])
+    rows = rows.mapInArrow(lambda batches: _with_class(batches, schema.names), schema)
+    chosen = (
+        rows.join(kept, by, "left_semi")
+        .groupBy(*by)
+        .agg(F.min_by("__row", F.col("__row.text")).alias("__row"))
+        .select("__row.*")
+    )
+    return chosen.unionByName(docs.filter(~filled))

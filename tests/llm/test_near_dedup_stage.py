@@ -75,3 +75,20 @@ def test_tables_follow_the_threshold():
     for percent in (70, 80, 85, 95):
         band, alike = near_dedup.Banding.of(percent), percent / 100
         assert 1 - (1 - (1 - alike**near_dedup.ROWS) ** band.halves) ** 2 <= near_dedup.MISSED
+
+
+def test_rows_without_id_and_shared_ids(frame):
+    text, other, third = "one two three four five six", "seven eight nine ten", "alpha beta gamma delta"
+    rows = [
+        (None, ""), (None, None), (None, None), (3, " \n"),  # empty sets: all stay
+        (None, text), (4, text), (4, text), (9, text.upper()),  # one component with ids
+        (None, third), (None, third),  # one component without ids
+        (9, other), (5, other + " "), (5, other),  # two rows of the smallest id, the smaller text stays
+        (9, "quite another text of its own"),  # shares its id with rows that go
+    ]
+    got = near_dedup.without_duplicates(frame(rows)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in got), key=key) == [
+        (3, " \n"), (4, text), (5, other), (9, "quite another text of its own"),
+        (None, ""), (None, third), (None, None), (None, None),
+    ]
