@@ -20,7 +20,7 @@ from recordloom.constants import (
     STALL_SECONDS,
 )
 from recordloom.functions import text as tx
-from recordloom.session import written_table
+from recordloom.operators import ranges
 
 SPAN_SLOTS = 4096
 
@@ -238,42 +238,9 @@ def running_number(
 ) -> DataFrame:
     """`row_number` over (groups, order) that never puts a group into one task.
 
-    Rows are range-partitioned by (groups, order), so a large group spreads over
-    many tasks; each task numbers its stretch, and the lengths of the earlier
-    stretches of the group are added. The ranges come from a sample, so the
-    partitioned rows are stored once before they are counted and read again.
-    `order` must be unique within a group. Sampling runs the input's plan once
-    more, so an input that is costly to compute should be a stored table.
+    See `ranges.numbered`; `order` must be unique within a group.
     """
-    keys = [*groups, *order]
-    placed = (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("__at", F.monotonically_increasing_id())
-    )
-    stored = written_table(placed, "numbered").withColumn(
-        "__part", F.shiftright("__at", 33)
-    )
-    spans = stored.groupBy(*groups, "__part").agg(
-        F.min("__at").alias("__lo"), F.count("*").alias("__n")
-    )
-    earlier = (
-        Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = spans.select(
-        *[F.col(g).alias(f"__g_{g}") for g in groups],
-        F.col("__part").alias("__g__part"),
-        (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__lo") + 1).alias("__shift"),
-    )
-    if not groups:
-        # One row per task of the numbering.
-        offsets = F.broadcast(offsets)
-    same = F.col("__part") == F.col("__g__part")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    return stored.join(offsets, same).select(
-        *df.columns, (F.col("__at") + F.col("__shift")).alias(out)
-    )
+    return ranges.numbered(df, order, groups, out)
 
 
 def numbered_pages(
@@ -289,11 +256,9 @@ def numbered_pages(
 
 
 def page_of(df: DataFrame, order: Sequence[str], offset: int, size: int = PAGE_SIZE) -> DataFrame:
-    """One result page, in order. It is found by number at any offset, since a sorted
-    limit would bring all rows before it to the driver."""
-    rn = F.col("__rn")
-    on_page = (rn > offset) & (rn <= offset + size)
-    return running_number(df, order, (), "__rn").filter(on_page).orderBy("__rn").drop("__rn")
+    """One result page, in order. Only the ranges that hold the page are sorted, since a
+    sorted limit would bring all rows before it to the driver."""
+    return ranges.stretch_of(df, order, offset + 1, offset + size)
 
 
 def shard_rows(
