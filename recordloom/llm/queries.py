@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, fingerprint, kneser_ney, language_id, mixing, near_dedup, neighbours, secrets, toxicity, wavelet
+from recordloom.llm import (
+    bpe,
+    fingerprint,
+    kneser_ney,
+    language_id,
+    merkle,
+    mixing,
+    near_dedup,
+    neighbours,
+    secrets,
+    toxicity,
+    wavelet,
+)
 from recordloom.llm.ship import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +236,69 @@ FROM m LEFT JOIN words USING (doc_id)
 @query("op9_mixing", MIX_SQL)
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), ["doc_id"])
+
+
+# Leaves, both trees level by level, and every leaf folded with its siblings. crc32 bit by
+# bit: a byte is mixed in, then eight steps (-1) follow.
+MERKLE_SQL = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang,
+    [coalesce(strlen(v) || ':' || v, '-') FOR v IN [doc_id::VARCHAR, source, lang, n_chars::VARCHAR]] AS head,
+    text, list_reduce(flatten([[4294967295], flatten([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1]
+      FOR c IN string_split(doc_id::VARCHAR, '')])]),
+      lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END) AS crc
+  FROM documents),
+l AS (
+  SELECT doc_id, lang, sha256(array_to_string(head, '') || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(array_to_string(head, '') || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered,
+    coalesce(xor(crc, 4294967295) % 3 = 0, false) AS wrong FROM f),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM l),
+tree(lang, level, pos, n, digest) AS (
+  SELECT lang, 0, pos, n, leaf FROM p
+  UNION ALL
+  SELECT lang, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tree WHERE n > 1 GROUP BY lang, level, pos // 8, n),
+s AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n, level FROM tree WHERE n = 1),
+top(level, pos, n, digest) AS (
+  SELECT 0, pos, n, subroot FROM s
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM top WHERE n > 1 GROUP BY level, pos // 8, n),
+steps AS (
+  SELECT p.doc_id, p.leaf, t.level,
+    coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < p.pos // (8 ** t.level)::BIGINT), '') AS a,
+    coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > p.pos // (8 ** t.level)::BIGINT), '') AS b
+  FROM p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang AND t.n > 1
+    AND t.pos // 8 = (p.pos // (8 ** t.level)::BIGINT) // 8
+  GROUP BY p.doc_id, p.leaf, p.pos, t.level
+  UNION ALL
+  SELECT p.doc_id, p.leaf, s.level + t.level,
+    coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < s.pos // (8 ** t.level)::BIGINT), ''),
+    coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > s.pos // (8 ** t.level)::BIGINT), '')
+  FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang
+    JOIN top t ON t.n > 1 AND t.pos // 8 = (s.pos // (8 ** t.level)::BIGINT) // 8
+  GROUP BY p.doc_id, p.leaf, s.pos, s.level, t.level),
+fold(doc_id, leaf, level, digest) AS (
+  SELECT doc_id, leaf, 0, CASE WHEN wrong THEN lowered ELSE leaf END FROM p
+  UNION ALL
+  SELECT fold.doc_id, fold.leaf, fold.level + 1, sha256(a || digest || b)
+  FROM fold JOIN steps USING (doc_id, leaf, level)),
+proofs AS (
+  SELECT doc_id, leaf, sha256(string_agg(a || b, '' ORDER BY level)) AS proof FROM steps GROUP BY doc_id, leaf),
+root AS (SELECT digest AS root FROM top WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.subroot, root.root, coalesce(proofs.proof, sha256('')) AS proof_sha256,
+  last.digest AS folded_root, last.digest = root.root AS verified
+FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang CROSS JOIN root
+LEFT JOIN proofs USING (doc_id, leaf)
+JOIN (SELECT doc_id, leaf, arg_max(digest, level) AS digest FROM fold GROUP BY doc_id, leaf) last USING (doc_id, leaf)
+"""
+
+
+@query("op11_merkle", MERKLE_SQL)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir), toxicity.remainder(F.col("doc_id"), 3) == 0)
