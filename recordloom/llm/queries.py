@@ -19,6 +19,7 @@ from recordloom.llm import (
     secrets,
     toxicity,
     wavelet,
+    whitening,
 )
 from recordloom.llm.ship import documents, ship
 
@@ -302,3 +303,9 @@ JOIN (SELECT doc_id, leaf, arg_max(digest, level) AS digest FROM fold GROUP BY d
 @query("op11_merkle", MERKLE_SQL)
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir), toxicity.remainder(F.col("doc_id"), 3) == 0)
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=8)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
