@@ -134,23 +134,23 @@ def words(
     return hashes, np.searchsorted(begin, offsets)
 
 
-def shingle_sets(buffer: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """Sorted distinct 5-word shingles of every text, as 64-bit hashes.
+def shingle_sets(buffer: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Sorted distinct shingles of `width` words of every text, as 64-bit hashes.
 
     With fewer words the whole sequence is one; without words the set is empty.
     """
     hashes, at = words(buffer, offsets)
     rolled = np.empty(0, U64)
     with np.errstate(over="ignore"):
-        if len(hashes) >= SHINGLE:
-            rolled = hashes[: len(hashes) - SHINGLE + 1].copy()
-            for k in range(1, SHINGLE):
+        if len(hashes) >= width:
+            rolled = hashes[: len(hashes) - width + 1].copy()
+            for k in range(1, width):
                 rolled *= _BASE
-                rolled += hashes[k : len(hashes) - SHINGLE + 1 + k]
+                rolled += hashes[k : len(hashes) - width + 1 + k]
             rolled = mix(rolled)
         for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            if hi - lo >= SHINGLE:
-                yield np.unique(rolled[lo : hi - SHINGLE + 1])
+            if hi - lo >= width:
+                yield np.unique(rolled[lo : hi - width + 1])
             elif hi > lo:
                 total = U64(hi - lo)
                 for value in hashes[lo:hi]:

@@ -16,6 +16,7 @@ from recordloom.llm import (
     mixing,
     near_dedup,
     neighbours,
+    partenum,
     secrets,
     toxicity,
     wavelet,
@@ -137,17 +138,17 @@ def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(spark, path)
 
 
-# Words and distinct 5-word shingles by position; documents linked at 0.85; the
-# smallest doc_id reachable.
-NEAR_SQL = r"""
+# Words and distinct shingles by position; documents linked at 0.85; the smallest doc_id
+# reachable. WIDTH and LAST stand for the words of a shingle, and one less.
+_LINKED_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
-    WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS sh FROM w),
+    WHEN len(ws) < WIDTH THEN [array_to_string(ws, ' ')]
+    ELSE [array_to_string(ws[i:i + LAST], ' ') FOR i IN range(1, len(ws) - LAST + 1)] END) AS sh FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS (
   SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
@@ -164,6 +165,14 @@ LEFT JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) m ON m.x = d.doc_id
 """
 
 
+def linked_sql(width: int) -> str:
+    return _LINKED_SQL.replace("WIDTH", str(width)).replace("LAST", str(width - 1))
+
+
+NEAR_SQL = linked_sql(5)
+JOIN_SQL = f"SELECT doc_id, n_shingles, component_id FROM ({linked_sql(4)})"
+
+
 @query("op8_near_dedup", NEAR_SQL)
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
@@ -305,6 +314,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir), toxicity.remainder(F.col("doc_id"), 3) == 0)
 
 
+@query("op12_partenum", JOIN_SQL)
+def op12_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_join(documents(spark, sf_dir))
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=8)
