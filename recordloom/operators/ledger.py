@@ -111,18 +111,34 @@ def first_seen(
 ) -> DataFrame:
     """First row of every (scope, key) by `order`; same columns as `df`.
 
-    Rows without a key are kept one by one or dropped. The minimum is combined
-    on the map side, so a key held by a third of all rows sends one row per task.
+    The winners are found among the keys and `order` alone, combined on the map side; whole rows
+    only meet the winners, by key and `order`, so a key held by a third of all rows
+    spreads and no row is sorted. `order` must be unique within a key. Rows without a
+    key are kept one by one, or dropped.
     """
     missing = tx.or_empty(F.col(key).cast("string")) == ""
-    groups: list[Column] = [F.col(c) for c in (*scope, key)]
-    if keep_missing:
-        # A row without a key forms a group of its own, named by its position.
-        groups += [F.when(missing, F.col(c)).alias(f"__{c}") for c in order]
-    else:
+    if not keep_missing:
         df = df.filter(~missing)
-    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__first")
-    return df.groupBy(*groups).agg(first).select("__first.*").select(*df.columns)
+    names = list(dict.fromkeys([*scope, key]))
+    place = F.min(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])).alias("__o")
+    winners = (
+        df.filter(~missing)
+        .groupBy(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(names)])
+        .agg(place)
+        .select("*", "__o.*")
+        .drop("__o")
+    )
+    same = F.lit(True)
+    for i, c in enumerate(names):
+        same = same & df[c].eqNullSafe(F.col(f"__g{i}"))
+    for i, c in enumerate(order):
+        same = same & df[c].eqNullSafe(F.col(f"__o{i}"))
+    # Each task holds the winners of its keys in a hash table: narrow rows.
+    winners = winners.hint("shuffle_hash")
+    if not keep_missing:
+        return df.join(winners, same, "left_semi")
+    won = winners.withColumn("__won", F.lit(True))
+    return df.join(won, same, "left").filter(missing | F.col("__won")).select(*[df[c] for c in df.columns])
 
 
 # --- counters ---------------------------------------------------------------

@@ -308,13 +308,6 @@ def audit_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ITEM_SCHEMA = "doc_id bigint, level int, country string, `from` bigint, pos bigint, uri string"
 
 
-def _item_drop(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
-    """List items as a folder of JSON line files, as a crawl leaves them."""
-    path = scratch_path(spark, "drop")
-    ad.list_items(spark, sf_dir).repartition(files, "doc_id").write.json(path)
-    return path
-
-
 @query("stream_ingest", f"SELECT doc_id, level, uri FROM ({ad.LIST_ITEMS_SQL})")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over a growing folder; the second takes only the new files."""
@@ -330,17 +323,28 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("doc_id", "level", "uri")
 
 
+# Arrivals of the item drop: one folder after the other, each within its own run.
+_ARRIVAL = "doc_id % 3"
+
+
 @query(
     "stream_first_seen",
-    f"SELECT DISTINCT level, uri FROM ({ad.LIST_ITEMS_SQL}) WHERE uri IS NOT NULL",
+    f"""SELECT doc_id, level, country, "from", pos, uri FROM (
+          SELECT *, row_number() OVER (PARTITION BY level, uri ORDER BY {_ARRIVAL}, "from", pos) AS rn
+          FROM ({ad.LIST_ITEMS_SQL}) WHERE uri IS NOT NULL) WHERE rn = 1""",
 )
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, state = scratch_path(spark, "seen"), scratch_path(spark, "state")
-    stream = ingest.list_item_stream(
-        spark, _item_drop(spark, sf_dir), _ITEM_SCHEMA, files_per_batch=2
-    )
-    ingest.first_seen_stream(stream, out, state, "uri", ["from", "pos"], ["level"])
-    return spark.read.parquet(out).select("level", "uri")
+    """Three runs over a growing folder: of each key, the first row of its first arrival."""
+    out, state, drop = (scratch_path(spark, name) for name in ("seen", "state", "drop"))
+    for arrival in range(3):
+        items = ad.list_items(spark, sf_dir).filter(F.expr(f"{_ARRIVAL} = {arrival}"))
+        items.repartition(2, "doc_id").write.mode("append").json(drop)
+        ingest.first_seen_stream(
+            ingest.list_item_stream(spark, drop, _ITEM_SCHEMA),
+            lambda files: ingest.list_item_files(spark, files, _ITEM_SCHEMA),
+            out, state, "uri", ["from", "pos"], ["level"],
+        )
+    return spark.read.parquet(out).select("doc_id", "level", "country", "from", "pos", "uri")
 
 
 @query(
@@ -349,12 +353,14 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
                max("from") AS last_from FROM ({ad.LIST_ITEMS_SQL}) GROUP BY country, level""",
 )
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, state = scratch_path(spark, "counters"), scratch_path(spark, "state")
-    stream = ingest.list_item_stream(
-        spark, _item_drop(spark, sf_dir), _ITEM_SCHEMA, files_per_batch=2
-    )
-    ingest.counter_stream(stream, out, state)
-    return spark.read.parquet(out)
+    """Two runs over a growing folder; the counters are those of the last whole version."""
+    out, state, drop = (scratch_path(spark, name) for name in ("counters", "state", "drop"))
+    for arrival in range(2):
+        items = ad.list_items(spark, sf_dir).filter(F.col("doc_id") % 2 == arrival)
+        items.repartition(4, "doc_id").write.mode("append").json(drop)
+        stream = ingest.list_item_stream(spark, drop, _ITEM_SCHEMA, files_per_batch=2)
+        ingest.counter_stream(stream, out, state)
+    return ingest.read_counters(spark, out)
 
 
 @query(

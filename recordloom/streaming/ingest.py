@@ -6,7 +6,8 @@ the files it has seen.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,14 @@ def ingest_files(stream: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def list_item_files(spark: SparkSession, files: list[str], schema: str) -> DataFrame:
+    """The rows of some of the stream's files."""
+    return spark.read.schema(schema).json(files)
+
+
 def first_seen_stream(
     stream: DataFrame,
+    read_files: Callable[[list[str]], DataFrame],
     out: str,
     checkpoint: str,
     key: str,
@@ -45,28 +52,51 @@ def first_seen_stream(
 ) -> None:
     """Keep the first row per (scope, key) over all batches and reruns.
 
-    The keys seen are state, so a batch costs what the batch holds. It is reduced
-    to one row per key before the shuffle, however often a key is repeated. A key
-    is new if its first and its latest batch are the same. Every batch writes its
-    own folder, which a repeated batch overwrites.
+    State are the keys seen, each with its first and its latest batch and the place of its first
+    row (`order` and file), however wide the rows are. A key is new if its first and its
+    latest batch are the same; its row is then taken from the batch's files, by
+    `read_files`. A batch is reduced to one place per key before the shuffle, however
+    often a key is repeated. Every batch writes its own folder, which a repeated batch
+    overwrites: rows to `out`, keys to `<out>_keys`.
     """
-    firsts = (
+    names = [*scope, key]
+    places = (
         stream.filter(tx.or_empty(F.col(key).cast("string")) != "")
+        .select(*names, F.struct(*order, F.col("_metadata.file_path").alias("__file")).alias("__place"))
         .withColumn("__arrived", F.current_timestamp())
-        .groupBy(*scope, key)
+        .groupBy(*names)
         .agg(
-            F.min_by(F.struct(*stream.columns), F.struct(*order)).alias("__row"),
+            F.min("__place").alias("__place"),
             F.min("__arrived").alias("__first"),
             F.max("__arrived").alias("__latest"),
         )
     )
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.filter(F.col("__first") == F.col("__latest")).select("__row.*")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        spark = batch.sparkSession
+        fresh = batch.filter(F.col("__first") == F.col("__latest")).select(*names, "__place")
+        path = f"{out}_keys/batch={batch_id}"
+        fresh.write.mode("overwrite").parquet(path)
+        fresh = spark.read.schema(fresh.schema).parquet(path)
+        # At most the files of one batch.
+        files = [r[0] for r in fresh.select("__place.__file").distinct().collect()]
+        target = f"{out}/batch={batch_id}"
+        if not files:
+            spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(target)
+            return
+        rows = read_files(files)
+        won = fresh.select(*[F.col(c).alias(f"__k_{c}") for c in names], "__place")
+        same = F.lit(True)
+        for c in names:
+            same = same & rows[c].eqNullSafe(F.col(f"__k_{c}"))
+        for c in order:
+            same = same & rows[c].eqNullSafe(F.col(f"__place.{c}"))
+        whole = F.struct(*[rows[c] for c in rows.columns])
+        first = rows.join(won, same).groupBy("__k_" + key, *[f"__k_{c}" for c in scope]).agg(F.min(whole).alias("__row"))
+        first.select("__row.*").write.mode("overwrite").parquet(target)
 
     query = (
-        firsts.writeStream.outputMode("update")
+        places.writeStream.outputMode("update")
         .foreachBatch(keep_new)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -75,18 +105,75 @@ def first_seen_stream(
     query.awaitTermination()
 
 
+_POINTER = "_current"
+
+
+def _switch(spark: SparkSession, out: str, version: str) -> None:
+    """Let the pointer of `out` name `version`, in one rename over the old pointer."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    pointer, fresh = fs.Path(f"{out}/{_POINTER}"), fs.Path(f"{out}/{_POINTER}.{version}")
+    files = fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
+    stream = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(fresh, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    overwrite = getattr(fs, "Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    options[0] = overwrite
+    files.rename(fresh, pointer, options)
+
+
+def _drop_versions(spark: SparkSession, out: str, kept: set[str]) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and name not in kept:
+            files.delete(status.getPath(), True)
+
+
+def current_version(spark: SparkSession, out: str) -> str | None:
+    """Name of the version that the pointer of `out` names; none before the first batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{_POINTER}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    # Not through a glob or a listing: names with an underscore are hidden there.
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_counters(spark: SparkSession, out: str) -> DataFrame:
+    """The counters after the last batch that was written whole."""
+    version = current_version(spark, out)
+    if version is None:
+        raise FileNotFoundError(f"no counters yet in {out}")
+    return spark.read.parquet(f"{out}/{version}")
+
+
 def counter_stream(
     stream: DataFrame, out: str, checkpoint: str, by: Sequence[str] = ("country", "level")
 ) -> None:
-    """Running counters per cell, replaced as a whole after every batch."""
+    """Running counters per cell, as a whole after every batch; see `read_counters`.
+
+    Each batch writes a version of its own. Only when it is whole, the pointer is switched to it
+    in one step, and versions before the last one go. A run that ends anywhere in
+    between leaves the counters of the batch before.
+    """
     counters = stream.groupBy(*by).agg(
         F.count("*").alias("items"),
         F.count_if(F.col("uri").isNull()).alias("without_uri"),
         F.max("from").alias("last_from"),
     )
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        # A repeated batch writes a new version too, so the one the pointer names is never touched.
+        spark, version = batch.sparkSession, f"version={batch_id}-{uuid.uuid4().hex[:8]}"
+        before = current_version(spark, out)
+        batch.write.parquet(f"{out}/{version}")
+        _switch(spark, out, version)
+        _drop_versions(spark, out, {version, before or version})
 
     query = (
         counters.writeStream.outputMode("complete")

@@ -88,9 +88,24 @@ def test_first_seen_null_policies(spark):
     assert [r.id for r in dropped] == ["a", "b"]
 
 
-def test_first_seen_combines_before_the_shuffle(log):
-    plan = ledger.first_seen(log[0], "country", ["seq"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+def test_first_seen_moves_no_payload_in_its_aggregate(log):
+    df = log[0].withColumn("payload", F.repeat(F.lit("x"), 50))
+    for missing in (False, True):
+        found = ledger.first_seen(df, "country", ["seq"], ["status"], keep_missing=missing)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # A hash join sorts no rows, and the aggregates hold keys and places only.
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        aggregates = [line for line in plan.splitlines() if "Aggregate(" in line]
+        assert "partial_min" in plan and all("payload" not in line for line in aggregates)
+
+
+def test_first_seen_with_a_hot_key(log):
+    df, rows = log
+    got = {(r.country, r.status, r.seq) for r in ledger.first_seen(df, "country", ["seq"], ["status"]).collect()}
+    expected = {}
+    for seq, g, s in rows:
+        expected.setdefault((g, s), seq)
+    assert got == {(g, s, seq) for (g, s), seq in expected.items()}
 
 
 def test_stall_gaps(spark):
