@@ -19,32 +19,45 @@ _NO_ITEMS = "cast(array() as array<struct<title:string,notes:string>>)"
 def note_texts(doc: Column, body: Column) -> Column:
     """All `learningOutcome[*].additionalNote[*].noteLiteral` texts, in order.
 
-    A literal may be one label or a list of labels.
+    A literal may be one label or a list of labels. The JSON texts of the literals are cut out
+    of the record level by level, each level read once, and met by their index; they are needed
+    (and made) only where a literal is an object or a list.
     """
+    texts = "array<string>"
+    needed = body.rlike(rf'"noteLiteral"{WS}*:{WS}*[\[{{]') | body.contains("\\u")
 
-    def literals(n: Column, path: Column) -> Column:
-        literal = vx.variant_at(n, "$.noteLiteral")
+    def parts(text: Column, path: str) -> Column:
+        return F.from_json(F.get_json_object(text, path), texts)
+
+    def literals(n: Column, raw: Column) -> Column:
         many = vx.array_at(n, "$.noteLiteral")
-        as_list = F.transform(
-            many,
-            lambda x, k: vx.label_text(x, vx.json_at(body, F.format_string("%s[%d]", path, k))),
-        )
-        return F.when(many.isNotNull(), as_list).otherwise(
-            F.array(vx.label_text(literal, vx.json_at(body, path)))
+
+        def listed(raws: Column) -> Column:
+            return F.transform(many, lambda x, k: vx.label_text(x, F.get(raws, k)))
+
+        return F.when(many.isNotNull(), let(F.from_json(raw, texts), listed)).otherwise(
+            F.array(vx.label_text(vx.variant_at(n, "$.noteLiteral"), raw))
         )
 
-    def per_outcome(lo: Column, i: Column) -> Column:
+    def per_outcome(lo: Column, raw: Column) -> Column:
+        def of_notes(raws: Column) -> Column:
+            return F.flatten(
+                F.transform(
+                    vx.elements_at(lo, "$.additionalNote"),
+                    lambda n, j: literals(n, F.get_json_object(F.get(raws, j), "$.noteLiteral")),
+                )
+            )
+
+        return let(parts(raw, "$.additionalNote"), of_notes)
+
+    def of_outcomes(raws: Column) -> Column:
         return F.flatten(
             F.transform(
-                vx.elements_at(lo, "$.additionalNote"),
-                lambda n, j: literals(
-                    n,
-                    F.format_string("$.learningOutcome[%d].additionalNote[%d].noteLiteral", i, j),
-                ),
+                vx.elements_at(doc, "$.learningOutcome"), lambda lo, i: per_outcome(lo, F.get(raws, i))
             )
         )
 
-    notes = F.flatten(F.transform(vx.elements_at(doc, "$.learningOutcome"), per_outcome))
+    notes = let(F.when(needed, parts(body, "$.learningOutcome")), of_outcomes)
     return F.filter(notes, lambda t: t != "")
 
 

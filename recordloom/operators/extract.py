@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,77 +42,50 @@ def publisher_country(doc: Column) -> Column:
     )
 
 
-_NODES = "array<struct<label:string,body:string,value:variant>>"
+def _label_search() -> Callable[[Column], Column]:
+    """Column function: the JSON texts of all `countryCode.prefLabel` of a record, in document order.
 
+    A record may nest to any depth, which no column expression follows without reading it once a
+    level; here it is parsed once and walked once, a whole Arrow batch at a time. The functions
+    are nested so that they travel by value: executors need not have this package.
+    """
 
-def _node(value: Column, body: Column) -> Column:
-    """A part of a record: its own country label if it has one, its JSON text, its value."""
-    path = "$.countryCode.prefLabel"
-    label = vx.label_text(vx.variant_at(value, path), F.get_json_object(body, path))
-    return F.struct(
-        F.nullif(label, F.lit("")).alias("label"), body.alias("body"), value.alias("value")
-    )
+    def texts(body: str | None) -> list[str]:
+        # The raw text may spell the key with escapes.
+        if body is None or ("countryCode" not in body and "\\u" not in body):
+            return []
+        try:
+            nodes = [json.loads(body)]
+        except (ValueError, RecursionError):
+            return []
+        found = []
+        while nodes:
+            node = nodes.pop()
+            if isinstance(node, dict):
+                code = node.get("countryCode")
+                if isinstance(code, dict) and code.get("prefLabel") is not None:
+                    text = json.dumps(code["prefLabel"], ensure_ascii=False)
+                    found.append(text.encode("utf-8", "replace").decode())
+                children = list(node.values())
+            else:
+                children = node if isinstance(node, list) else []
+            nodes += [c for c in reversed(children) if isinstance(c, dict | list)]
+        return found
+
+    def search(bodies: pd.Series) -> pd.Series:
+        return bodies.map(texts)
+
+    return F.pandas_udf(search, "array<string>")
 
 
 def deep_country(doc: Column, body: Column) -> Column:
     """First country label anywhere in the record, in document order.
 
-    A list of nodes starts with the whole record. Each step replaces every node
-    by its children, in place, so the list stays in document order; a node with
-    a label is kept. After as many steps as the record can be deep, the first
-    label left in the list is the answer.
+    An object's own label comes before those of its parts; an empty label counts as none.
     """
-
-    def nested(part: Column) -> Column:
-        # A branch whose text lacks the key cannot hold a label. A text may look
-        # like JSON, so the value tells what is nested.
-        kind = vx.kind(part["value"])
-        return part["body"].contains("countryCode") & kind.rlike("^(?:ARRAY|OBJECT)")
-
-    def children(n: Column) -> Column:
-        # The texts keep document order, which values do not.
-        texts = F.from_json(n["body"], "array<string>")
-        values = vx.array_at(n["value"], "$")
-        fields = F.map_entries(F.from_json(n["body"], "map<string,string>"))
-        by_key = F.try_variant_get(n["value"], "$", "map<string,variant>")
-        parts = F.when(
-            values.isNotNull(),
-            F.transform(
-                texts, lambda t, i: F.struct(t.alias("body"), F.get(values, i).alias("value"))
-            ),
-        ).otherwise(
-            F.transform(
-                fields,
-                lambda f: F.struct(
-                    f["value"].alias("body"),
-                    F.try_element_at(by_key, f["key"]).alias("value"),
-                ),
-            )
-        )
-        nodes = F.transform(F.filter(parts, nested), lambda p: _node(p["value"], p["body"]))
-        return F.coalesce(nodes.cast(_NODES), F.expr(f"cast(array() as {_NODES})"))
-
-    def step(nodes: Column, _: Column) -> Column:
-        first = F.get(nodes, F.lit(0))
-        return F.when(
-            (F.size(nodes) == 0) | first["label"].isNotNull(), F.slice(nodes, 1, 1)
-        ).otherwise(
-            F.flatten(
-                F.transform(
-                    nodes,
-                    lambda n: F.when(n["label"].isNotNull(), F.array(n).cast(_NODES)).otherwise(
-                        children(n)
-                    ),
-                )
-            )
-        )
-
-    openings = F.length(F.regexp_replace(body, r"[^\[{]++", ""))
-    start = F.array(_node(doc, body)).cast(_NODES)
-    nodes = F.aggregate(F.sequence(F.lit(1), F.greatest(openings, F.lit(1))), start, step)
-    found = F.get(F.filter(nodes, lambda n: n["label"].isNotNull()), F.lit(0))["label"]
-    # The raw text may spell the key with escapes.
-    return F.when(body.contains("countryCode") | body.contains("\\u"), found)
+    labels = _label_search()(F.when(doc.isNotNull(), body))
+    named = F.transform(labels, lambda t: F.nullif(vx.label_text(vx.parse_json(t), t), F.lit("")))
+    return F.get(F.filter(named, lambda t: t.isNotNull()), F.lit(0))
 
 
 # --- other fields -----------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -75,6 +76,47 @@ def test_deep_country_in_a_deep_record(spark):
     assert parsed.select(extract.deep_country(F.col("doc"), F.col("body")).alias("c")).first().c == "Deep"
 
 
+def seconds(df):
+    df.write.format("noop").mode("overwrite").save()
+    start = time.perf_counter()
+    df.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
+def test_country_and_notes_take_linear_time(spark):
+    """Twice the record, about twice the time: no level and no note is read again for another one."""
+
+    def record(n):
+        node = {"countryCode": {"prefLabel": "End"}}
+        for k in range(n // 100):
+            node = {"side": [{"countryCode": {"prefLabel": ""}, "k": k}] * 100, "z": node}
+            if k % 40 == 39:
+                node = {"flat": "x", "y": [node]}
+        notes = [{"noteLiteral": {"fr": f"note {i}", "de": "zwei"}} for i in range(n)]
+        return {"learningOutcome": [{"additionalNote": notes}], "tree": node}
+
+    taken = {}
+    for n in (4000, 8000):
+        parsed = vx.with_json(docs(spark, [record(n)]).coalesce(1), "body", "doc")
+        country = parsed.select(extract.deep_country(F.col("doc"), F.col("body")).alias("v"))
+        notes = parsed.select(ox.note_texts(F.col("doc"), F.col("body")).alias("v"))
+        assert country.first().v == "End"
+        got = notes.first().v
+        assert len(got) == n and got[0] == "note 0" and got[-1] == f"note {n - 1}"
+        taken[n] = [min(seconds(df) for _ in range(2)) for df in (country, notes)]
+    for before, after in zip(taken[4000], taken[8000], strict=True):
+        assert after < 3.2 * before + 0.3, taken
+
+
+def test_notes_of_mixed_literals_meet_their_own_text(spark):
+    forms = [{"zz": "first", "aa": "no"}, ["a", {"zz": "b", "aa": "no"}], "plain", None, {"zz": 1, "yy": "c"}, 5, [{"en": "d"}]]
+    los = [{"additionalNote": [{"noteLiteral": f} for f in forms[i:]]} for i in range(len(forms))]
+    parsed = vx.with_json(docs(spark, [{"learningOutcome": [los[0], None, "x", *los[1:]]}]), "body", "doc")
+    got = parsed.select(ox.note_texts(F.col("doc"), F.col("body")).alias("n")).first().n
+    flat = [["first"], ["a", "b"], ["plain"], [], ["c"], ["5"], ["d"]]
+    assert got == [t for i in range(len(forms)) for part in flat[i:] for t in part]
+
+
 def test_records_survive_nulls_and_odd_types(spark):
     odd = [
         {"title": None, "providedBy": [None, {"location": [None, {"address": [None]}]}], "publisher": {"location": [None]}},
