@@ -27,6 +27,7 @@ from recordloom.llm.ship import stored
 
 LIMIT = 1 << 20
 GATHERED = 1 << 20
+FOREST = 1 << 18
 
 Keys = Callable[[np.ndarray], np.ndarray]
 
@@ -40,12 +41,37 @@ def class_id(shingles: np.ndarray) -> int:
 # --- components ----------------------------------------------------------------
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one task as stars: each node with the smallest one it is connected to."""
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := above.get(top, top)) != top:
+            top = up
+        while (up := above.get(x, x)) != top:
+            above[x] = top
+            x = up
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+            low, high = sorted((root(a), root(b)))
+            above.setdefault(low, low)
+            above[high] = low
+    pairs = np.array([(root(x), x) for x in above if root(x) != x], np.int64).reshape(-1, 2)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
 def components(edges: DataFrame, tag: str) -> DataFrame:
-    """(`node`, `label`): the smallest node reachable over the edges (`a`, `b`).
+    """(`node`, `label`): the smallest node reachable over the edges (`a`, `b`), a stored table.
 
-    Labels take the smallest label among the neighbours, then the label of their
-    label; every round is a stored table, and rounds go on until nothing changes.
+    Stretches of `FOREST` edges are contracted in tasks first. Then labels take the smallest
+    label among the neighbours, then the label of their label; every round is a stored table, and
+    rounds go on until nothing changes.
     """
+    tasks = -(-max(1, edges.count()) // FOREST)
+    edges = edges.select("a", "b").repartition(tasks).mapInArrow(_forest, "a long, b long")
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.distinct(), f"{tag}-edges")
     labels = stored(
@@ -270,12 +296,12 @@ def sets_of(docs: DataFrame, seats: DataFrame, width: int) -> DataFrame:
     wanted = seats.select(
         *names, F.coalesce("rep", F.lit(0)).alias("__id"), F.col("rep").isNull().alias("__none")
     )
-    # Rows repeated with one id and one set are one row before their texts move on.
-    one = wanted.select("cid", "__id", "__none").distinct()
-    texts = rows.join(one, ["cid", "__id", "__none"], "left_semi").groupBy("cid", "__id", "__none").agg(
-        F.min("text").alias("text")
-    )
-    return texts.join(wanted, ["cid", "__id", "__none"]).select(*names, "text").mapInArrow(
+    # Rows repeated with one id and one set are one row before their texts move on. Texts are merged at
+    # every size: the same plan on small tables as on large ones.
+    key = ["cid", "__id", "__none"]
+    one = wanted.select(*key).distinct().hint("merge")
+    texts = rows.join(one, key, "left_semi").groupBy(*key).agg(F.min("text").alias("text"))
+    return texts.join(wanted.hint("merge"), key).select(*names, "text").mapInArrow(
         sets, f"{schema}, shingles binary"
     )
 

@@ -42,7 +42,7 @@ WIDTH = 4
 PERCENT = 85
 # Elements a signature should cover, in the smallest sets of its band, and the signatures it may take:
 # so many, or so many an element.
-COVERED = 5.5
+COVERED = 4.5
 FEW, PER_ELEMENT = 20, 0.6
 # Chance that a set has more parts with empty signatures than it may leave out.
 CROWDED = 1e-3
