@@ -59,6 +59,29 @@ def clean_columns(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataF
     return df.withColumns({c: clean_text(F.col(c))["cleaned"] for c in columns})
 
 
+def rule_results(df: DataFrame, key: str, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
+    """The fixed rules in the form of a hook's results: each text cleaned once, with what was removed."""
+    cleaned = df.select(
+        key,
+        *[tx.or_empty(F.col(f"`{c}`")).alias(c) for c in columns],
+        *[clean_text(F.col(f"`{c}`")).alias(f"__{c}") for c in columns],
+    )
+    both = [(f"__{c}", c) for c in columns]
+    return cleaned.select(
+        key,
+        *[
+            x
+            for nested, c in both
+            for x in (
+                F.col(f"`{c}`"),
+                F.col(f"`{nested}`")["cleaned"].alias(f"{c}_cleaned"),
+                F.col(f"`{nested}`")["removed"].alias(f"{c}_removed"),
+            )
+        ],
+        F.lit(None).cast("string").alias("error"),
+    )
+
+
 RowCleaner = Callable[[pd.DataFrame], pd.DataFrame]
 
 
@@ -145,3 +168,8 @@ def hook_rows(results: DataFrame, key: str, columns: Sequence[str] = TEXT_COLUMN
         *[F.when(ok, F.col(f"{x}_cleaned")).otherwise(F.col(x)).alias(x) for x in columns],
         "error",
     )
+
+
+def dead_rows(results: DataFrame, key: str, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
+    """Rows that could not be cleaned, with their error and their texts."""
+    return checked(results, columns).filter(F.col("error").isNotNull()).select(key, "error", *columns)

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from recordloom.constants import NOTE_PIPE
@@ -14,6 +14,9 @@ from recordloom.functions import outcomes as ox
 from recordloom.functions import text as tx
 from recordloom.functions import variants as vx
 
+# Below this, any JSON text fits one VARIANT value.
+VARIANT_BYTES = 16 << 20
+
 # --- countries --------------------------------------------------------------
 
 
@@ -219,9 +222,12 @@ def _is_record() -> Column:
     return F.col("__doc").isNotNull() & ~F.is_variant_null("__doc")
 
 
-def _rows(docs: DataFrame, body: str, *columns: Column) -> DataFrame:
-    """Columns of every well-formed document."""
+def _rows(docs: DataFrame, body: str, watch: Observation | None, *columns: Column) -> DataFrame:
+    """Columns of every well-formed document; `watch` counts those `read` and those `dead`."""
     parsed = vx.with_json(docs, body, "__doc")
+    if watch is not None:
+        dead = F.count_if(~_is_record()).alias("dead")
+        parsed = parsed.observe(watch, F.count(F.lit(1)).alias("read"), dead)
     valid = _is_record().alias("__valid")
     return vx.keep_rows(parsed.select(*columns, valid), F.col("__valid")).drop("__valid")
 
@@ -235,8 +241,19 @@ def malformed(docs: DataFrame, body: str = "body") -> DataFrame:
     return vx.keep_rows(vx.with_json(docs, body, "__doc"), ~_is_record()).drop("__doc")
 
 
+def dead_reason(body: Column) -> Column:
+    """Why a body is no record: `too large` for well-formed JSON beyond one VARIANT, else `bad json`."""
+    parsed = F.from_json(body, "__none string, __bad string", {"columnNameOfCorruptRecord": "__bad"})
+    large = F.octet_length(body) > VARIANT_BYTES
+    return F.when(large & parsed["__bad"].isNull(), "too large").otherwise("bad json")
+
+
 def lo_records(
-    docs: DataFrame, body: str = "body", file: str = "file", outcomes_as_json: bool = True
+    docs: DataFrame,
+    body: str = "body",
+    file: str = "file",
+    outcomes_as_json: bool = True,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Learning-opportunity documents to flat rows.
 
@@ -246,6 +263,7 @@ def lo_records(
     return _rows(
         docs,
         body,
+        watch,
         F.col(file).alias("file"),
         vx.text_at(d, "$.title", "").alias("title"),
         provider_country(d).alias("countryCode.prefLabel"),
@@ -261,6 +279,7 @@ def qual_records(
     file: str = "file",
     with_entry: bool = False,
     outcomes_as_json: bool = True,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Qualification documents to flat rows; `entryRequirement` on request."""
     d = F.col("__doc")
@@ -268,6 +287,7 @@ def qual_records(
     return _rows(
         docs,
         body,
+        watch,
         vx.first_filled(vx.filled_at(d, "$.title")).alias("qualificationName"),
         publisher_country(d).alias("country"),
         qual_level(d).alias("qualificationLevel"),
@@ -283,6 +303,7 @@ def multilingual_records(
     body: str = "body",
     folder: str = "country",
     require_outcome: bool = True,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Multilingual qualification documents to flat rows.
 
@@ -293,6 +314,7 @@ def multilingual_records(
     flat = _rows(
         docs,
         body,
+        watch,
         vx.text_at(d, "$.title", "").alias("title"),
         F.coalesce(deep_country(d, raw), F.col(folder)).alias("country"),
         multilingual_level(d, raw).alias("qualificationLevel"),

@@ -99,19 +99,30 @@ def url_reason(url: Column) -> Column:
     )
 
 
-def outcome_class(http_status: Column, exists: Column) -> Column:
-    """`skipped` if the id is stored, `saved` on 200 or 201, else `failed`."""
-    return (
-        F.when(F.coalesce(exists, F.lit(False)), "skipped")
-        .when(http_status.isin(200, 201), "saved")
-        .otherwise("failed")
-    )
+def _unusable(reason: Column | None) -> Column:
+    return F.lit(None).cast("string") if reason is None else reason
+
 
+def outcome_class(
+    http_status: Column, exists: Column, reason: Column | None = None, error: Column | None = None
+) -> Column:
+    """`skipped` for an entry that cannot be followed (`reason`, see `url_reason`) or whose id is
+    stored, `saved` on 200 or 201, else `failed`, as with an `error` raised by the request."""
+    skipped = _unusable(reason).isNotNull() | F.coalesce(exists, F.lit(False))
+    saved = http_status.isin(200, 201) & _unusable(error).isNull()
+    return F.when(skipped, "skipped").when(saved, "saved").otherwise("failed")
 
-def outcome_reason(http_status: Column, exists: Column) -> Column:
+
+def outcome_reason(
+    http_status: Column, exists: Column, reason: Column | None = None, error: Column | None = None
+) -> Column:
+    """`invalid-url` or `bad-url` (as `reason` says), `exists`, `exception`, `status-<n>`; NULL if saved."""
     status = F.coalesce(http_status.cast("string"), F.lit("noresp"))
-    return F.when(F.coalesce(exists, F.lit(False)), "exists").when(
-        ~F.coalesce(http_status.isin(200, 201), F.lit(False)), F.concat(F.lit("status-"), status)
+    return (
+        F.when(_unusable(reason).isNotNull(), _unusable(reason))
+        .when(F.coalesce(exists, F.lit(False)), "exists")
+        .when(_unusable(error).isNotNull(), "exception")
+        .when(~F.coalesce(http_status.isin(200, 201), F.lit(False)), F.concat(F.lit("status-"), status))
     )
 
 

@@ -7,7 +7,10 @@ The `*_rows` functions take flat text rows, for data that is already in CSV.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.constants import (
@@ -21,7 +24,7 @@ from recordloom.functions import text as tx
 from recordloom.functions import variants as vx
 from recordloom.operators import cleaner, extract, ledger, quality
 from recordloom.operators.quality import name
-from recordloom.sources import readers, writers
+from recordloom.sources import files, readers, writers
 
 LO_TEXT = [c for c in LO_REQUIRED if c != "learningOutcome"]
 QUAL_TEXT = [c for c in QUAL_REQUIRED if c != "learningOutcomes"]
@@ -45,13 +48,15 @@ def _lo_columns(df: DataFrame, notes: Column) -> DataFrame:
     )
 
 
-def lo_dataset(docs: DataFrame, markers_per_note: bool = False) -> DataFrame:
+def lo_dataset(
+    docs: DataFrame, markers_per_note: bool = False, watch: Observation | None = None
+) -> DataFrame:
     """Documents (`file, body`) to complete, clean learning-opportunity rows.
 
     `markers_per_note` removes list markers from every note instead of from the
     start of each line of the joined text.
     """
-    flat = extract.lo_records(docs, outcomes_as_json=False)
+    flat = extract.lo_records(docs, outcomes_as_json=False, watch=watch)
     kept = vx.keep_rows(flat, quality.all_filled(LO_TEXT) & (F.size("learningOutcome") > 0))
     notes = F.transform(
         F.flatten(F.transform("learningOutcome", lambda x: x["additionalNote"])), tx.trim_ws
@@ -86,9 +91,9 @@ def _replaced(df: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def qual_dataset(docs: DataFrame) -> DataFrame:
+def qual_dataset(docs: DataFrame, watch: Observation | None = None) -> DataFrame:
     """Documents (`file, body`) to complete, clean qualification rows."""
-    flat = extract.qual_records(docs, outcomes_as_json=False)
+    flat = extract.qual_records(docs, outcomes_as_json=False, watch=watch)
     filled = quality.all_filled(QUAL_TEXT, ("null",)) & (F.size("learningOutcomes") > 0)
     kept = quality.drop_columns(vx.keep_rows(flat, filled), "sourceFile")
     items = F.transform(
@@ -188,15 +193,41 @@ def crawl_ledger(
 
 # --- from files to files --------------------------------------------------------
 
+Accounts = dict[str, int]
+
+
+def filed(
+    docs: DataFrame,
+    to_rows: Callable[[Observation], DataFrame],
+    write: Callable[[DataFrame], None],
+    dead: str,
+) -> Accounts:
+    """Write the rows of documents; how many were read, kept, dropped by a rule, and dead.
+
+    The counts come from the pass that writes. Documents that cannot be read go to `dead` with
+    reason and body; they are looked for only if there are any.
+    """
+    seen, left = Observation("documents"), Observation("rows")
+    write(to_rows(seen).observe(left, F.count(F.lit(1)).alias("kept")))
+    counts = {"read": seen.get["read"], "kept": left.get["kept"], "dead": seen.get["dead"]}
+    counts["dropped"] = counts["read"] - counts["dead"] - counts["kept"]
+    if counts["dead"]:
+        writers.write_dead_documents(docs, dead)
+    return counts
+
 
-def lo_files_to_csv(spark: SparkSession, folder: str, out: str, dead: str | None = None) -> None:
+def lo_files_to_csv(spark: SparkSession, folder: str, out: str, dead: str | None = None) -> Accounts:
     """A folder of learning-opportunity documents to CSV, quotes where needed.
 
-    Documents that cannot be read go to `dead` with their body, if it is given."""
+    Documents that cannot be read go to `dead`, by default `<out>_dead`."""
     docs = readers.read_documents(spark, folder, recursive=False)
-    writers.write_csv(lo_dataset(docs.withColumn("file", F.col("name"))), out)
-    if dead:
-        writers.write_dead_documents(docs, dead)
+    named = docs.withColumn("file", F.col("name"))
+    return filed(
+        docs,
+        lambda seen: lo_dataset(named, watch=seen),
+        lambda rows: writers.write_csv(rows, out),
+        dead or f"{out}_dead",
+    )
 
 
 def qual_files_to_csv(
@@ -205,14 +236,17 @@ def qual_files_to_csv(
     out: str,
     rows_per_file: int | None = None,
     dead: str | None = None,
-) -> None:
+) -> Accounts:
     """A tree of qualification documents to CSV, every cell quoted.
 
-    Documents that cannot be read go to `dead` with their body, if it is given."""
+    Documents that cannot be read go to `dead`, by default `<out>_dead`."""
     docs = readers.read_documents(spark, folder)
-    writers.write_csv(qual_dataset(docs), out, quote_all=True, rows_per_file=rows_per_file)
-    if dead:
-        writers.write_dead_documents(docs, dead)
+    return filed(
+        docs,
+        lambda seen: qual_dataset(docs, watch=seen),
+        lambda rows: writers.write_csv(rows, out, quote_all=True, rows_per_file=rows_per_file),
+        dead or f"{out}_dead",
+    )
 
 
 def multilingual_files_to_csv(
@@ -221,27 +255,93 @@ def multilingual_files_to_csv(
     out: str,
     require_outcome: bool = True,
     dead: str | None = None,
-) -> None:
+) -> Accounts:
     """Folders named by country, with multilingual documents, to CSV.
 
-    Documents that cannot be read go to `dead` with their body, if it is given."""
+    Documents that cannot be read go to `dead`, by default `<out>_dead`."""
     docs = readers.read_documents(spark, f"{root}/*", recursive=False)
-    rows = extract.multilingual_records(docs, folder="folder", require_outcome=require_outcome)
-    writers.write_csv(rows, out)
-    if dead:
-        writers.write_dead_documents(docs, dead)
+    return filed(
+        docs,
+        lambda seen: extract.multilingual_records(
+            docs, folder="folder", require_outcome=require_outcome, watch=seen
+        ),
+        lambda rows: writers.write_csv(rows, out),
+        dead or f"{out}_dead",
+    )
 
 
-def clean_csv(
-    spark: SparkSession, path: str, columns: list[str], key: str, out: str, audit: str
+def clean_in_batches(
+    rows: DataFrame,
+    key: str,
+    out: str,
+    hook: cleaner.RowCleaner | None = None,
+    batches: int = 8,
+    columns: Sequence[str] = cleaner.TEXT_COLUMNS,
 ) -> None:
-    """Remove boilerplate from CSV rows; the audit is kept beside the result.
+    """Clean the rows whose key is not done yet, in `batches` that are committed one by one.
+
+    A batch is one table of keys, texts before and after, what was removed, and errors. So
+    cleaned rows, audit, dead letters and done keys are committed in one step, and
+    a run that is killed loses the batch at hand only; the next one goes on with the rest. `key` names
+    a row. Without a `hook` the fixed rules clean. A row that the hook fails on, or gives back
+    without all its texts, is done too: a dead letter, with its error and its texts as they were.
+    """
+    spark = rows.sparkSession
+    texts = rows.select(key, *[tx.or_empty(F.col(f"`{c}`")).alias(c) for c in columns])
+    done = cleaned_batches(spark, out)
+    todo = texts if done is None else ledger.skip_done(texts, done, [key])
+    part = F.pmod(F.xxhash64(key), F.lit(batches))
+    run = uuid.uuid4().hex[:12]
+    for k in range(batches):
+        batch = todo.filter(part == k)
+        if hook is None:
+            results = cleaner.rule_results(batch, key, columns)
+        else:
+            results = cleaner.checked(cleaner.apply_hook(batch, key, hook, columns), columns)
+        results.write.parquet(f"{out}/batch={run}-{k}")
+
+
+def cleaned_batches(spark: SparkSession, out: str) -> DataFrame | None:
+    """Results of all committed batches (for `cleaner.hook_rows`, `hook_audit`, `dead_rows`); None if there are none.
+
+    A batch whose writing was cut off has no mark of success and is passed over.
+    """
+    paths = files.folders_with(spark, out, "_SUCCESS")
+    return spark.read.parquet(*paths) if paths else None
 
-    Columns are found by the header's names, in any order."""
+
+def clean_csv(
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    key: str,
+    out: str,
+    audit: str,
+    hook: cleaner.RowCleaner | None = None,
+    batches: int = 8,
+    dead: str | None = None,
+) -> Accounts:
+    """Remove boilerplate from CSV rows by the fixed rules or a hook; audit and dead letters beside the result.
+
+    Columns are found by the header's names, in any order. `key` names a row. A run that was
+    cut off is taken up where it ended: batches are kept in `<out>_batches`."""
     rows = readers.read_csv(spark, path, columns)
-    cleaned, removed = cleaned_with_audit(rows, key)
+    texts = [c for c in cleaner.TEXT_COLUMNS if c in columns]
+    state = f"{out}_batches"
+    clean_in_batches(rows, key, state, hook, batches, texts)
+    results = cleaned_batches(spark, state)
+    # All at once from the committed batches, so a rerun replaces whole results.
+    cleaned = rows.select(*[f"`{c}`" for c in columns if c not in texts]).join(
+        cleaner.hook_rows(results, key, texts).drop("error"), key
+    )
+    seen = Observation("rows")
+    cleaned = cleaned.select(*[f"`{c}`" for c in columns]).observe(seen, F.count(F.lit(1)).alias("kept"))
     writers.write_csv(cleaned, out, quote_all=True)
-    writers.write_audit(removed, audit)
+    cleaner.hook_audit(results, key, texts).write.mode("overwrite").parquet(audit)
+    lost = Observation("dead")
+    failed = cleaner.dead_rows(results, key, texts).observe(lost, F.count(F.lit(1)).alias("dead"))
+    failed.write.mode("overwrite").json(dead or f"{out}_dead")
+    return {"read": seen.get["kept"], "kept": seen.get["kept"], "dropped": 0, "dead": lost.get["dead"]}
 
 
 def merge_csv(spark: SparkSession, first: str, second: str, out: str) -> None:

@@ -134,20 +134,31 @@ def bad_index_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead.select("page_id", "reason")
 
 
+# Every 13th entry has no address, every 11th one of slashes alone; every 7th request raises an error.
+_ENTRIES = f"""
+  SELECT *, CASE WHEN seq % 13 = 0 THEN '' WHEN seq % 11 = 0 THEN '//'
+                 ELSE 'http://data.example/q/' || seq END AS url,
+         CASE WHEN seq % 7 = 0 THEN 'socket hang up' END AS error FROM ({ad.OUTCOME_LOG_SQL})"""
+
+
 @query(
     "outcome_classes",
-    f"""SELECT seq, CASE WHEN event_type = 'view' THEN 'skipped' WHEN http_status IN (200, 201) THEN 'saved'
-                         ELSE 'failed' END AS class,
-               CASE WHEN event_type = 'view' THEN 'exists' WHEN http_status IN (200, 201) THEN NULL
+    f"""SELECT seq, CASE WHEN seq % 13 = 0 OR seq % 11 = 0 OR event_type = 'view' THEN 'skipped'
+                         WHEN error IS NULL AND http_status IN (200, 201) THEN 'saved' ELSE 'failed' END AS class,
+               CASE WHEN seq % 13 = 0 THEN 'invalid-url' WHEN seq % 11 = 0 THEN 'bad-url'
+                    WHEN event_type = 'view' THEN 'exists' WHEN error IS NOT NULL THEN 'exception'
+                    WHEN http_status IN (200, 201) THEN NULL
                     ELSE 'status-' || coalesce(CAST(http_status AS VARCHAR), 'noresp') END AS why
-        FROM ({ad.OUTCOME_LOG_SQL})""",
+        FROM ({_ENTRIES})""",
 )
 def outcome_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status, stored = F.col("http_status"), F.col("stored")
+    seq, head = F.col("seq"), F.lit("http://data.example/q/")
+    url = F.when(seq % 13 == 0, "").when(seq % 11 == 0, "//").otherwise(F.concat(head, seq.cast("string")))
+    given = (
+        F.col("http_status"), F.col("stored"), quality.url_reason(url), F.when(seq % 7 == 0, "socket hang up"),
+    )
     return ad.outcome_log(spark, sf_dir).select(
-        "seq",
-        quality.outcome_class(status, stored).alias("class"),
-        quality.outcome_reason(status, stored).alias("why"),
+        "seq", quality.outcome_class(*given).alias("class"), quality.outcome_reason(*given).alias("why")
     )
 
 

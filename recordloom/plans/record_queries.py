@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from recordloom.functions import outcomes as ox
 from recordloom.functions import text as tx
 from recordloom.functions import variants as vx
-from recordloom.operators import extract, ledger
+from recordloom.operators import cleaner, extract, ledger
 from recordloom.plans import adapters as ad
 from recordloom.plans import check_sql as q
 from recordloom.plans import jobs
 from recordloom.plans.registry import query, table
+from recordloom.session import scratch_path
 
 def _doc() -> Column:
     return F.col("doc")
@@ -500,6 +501,53 @@ def cleaning_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "cleaning_batches",
+    f"""SELECT doc_id, length(d) AS original_length, {cleaned_sql('d')} AS cleaned,
+               {removed_sql('d')} AS removed, {removed_sql('lo')} AS outcomes_removed
+        FROM (SELECT doc_id, {_BOILERPLATE} AS d, '1) ' || text AS lo FROM documents)""",
+)
+def cleaning_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into one folder, the second over all rows: it cleans what the first did not."""
+    out = scratch_path(spark, "batches")
+    rows = _boilerplate_rows(spark, sf_dir)
+    for todo in (rows.filter(F.col("doc_id") % 2 == 0), rows):
+        jobs.clean_in_batches(todo, "doc_id", out, batches=2)
+    audit = cleaner.hook_audit(jobs.cleaned_batches(spark, out), "doc_id")
+    return audit.select(
+        "doc_id",
+        F.length("original.description").cast("bigint").alias("original_length"),
+        F.col("cleaned.description").alias("cleaned"),
+        F.array_join("removed.description", "|").alias("removed"),
+        F.array_join("removed.learningOutcomes", "|").alias("outcomes_removed"),
+    )
+
+
+@query(
+    "job_accounts",
+    f"""SELECT count(*) AS read, count(*) FILTER (WHERE kept AND NOT dead) AS kept,
+               count(*) FILTER (WHERE NOT kept AND NOT dead) AS dropped, count(*) FILTER (WHERE dead) AS dead
+        FROM (SELECT doc_id % 31 = 0 AS dead, doc_id IN (
+                SELECT doc_id FROM ({_QUAL_FLAT}) f LEFT JOIN ({_composed(_QUAL_ITEMS)}) c USING (doc_id)
+                WHERE {_QUAL_KEPT}) AS kept FROM documents)""",
+)
+def job_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job over damaged documents counts while it writes."""
+    docs = ad.qual_documents(spark, sf_dir)
+    damaged = docs.withColumn(
+        "body", F.when(F.col("doc_id") % 31 == 0, F.concat("body", F.lit("}"))).otherwise(F.col("body"))
+    )
+    out = scratch_path(spark, "accounts")
+    counts = jobs.filed(
+        damaged,
+        lambda seen: jobs.qual_dataset(damaged, watch=seen),
+        lambda rows: rows.write.parquet(f"{out}/rows"),
+        f"{out}/dead",
+    )
+    names = ["read", "kept", "dropped", "dead"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 @query(
     "listed_items",
     f"""SELECT level, min(nr) AS nr, id FROM (SELECT level, doc_id AS nr, uri AS id FROM ({ad.LIST_ITEMS_SQL}))

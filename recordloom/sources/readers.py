@@ -116,20 +116,21 @@ def read_documents(
 def read_index(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Uris of index files (JSON arrays) by level, and the files that hold none.
 
-    The level stands in the file name or its folder. An array is one JSON value,
-    so one task reads one file; a level may have any number of files.
+    The level stands in the file name or its folder. An array is read element by element, each a
+    value of its own, so its length is not bound by the size of one VARIANT; one task
+    reads one file, and a level may have any number of files.
     """
     files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("body")
     )
-    parsed = vx.with_json(files, "body", "v").select(
+    # The parser takes no notice of what follows the array, so the text must end with it.
+    whole = F.rtrim(F.col("body"), F.lit(" \t\r\n")).endswith("]")
+    parsed = files.select(
         "file",
         F.regexp_extract("file", INDEX_FILE, 1).cast("int").alias("level"),
-        vx.array_at(F.col("v"), "$").alias("uris"),
-    )
-    uris = parsed.select(
-        "file", "level", F.posexplode("uris").alias("pos", "v")
+        F.when(whole, F.from_json("body", "array<variant>")).alias("uris"),
     )
+    uris = parsed.select("file", "level", F.posexplode("uris").alias("pos", "v"))
     good = uris.select(
         "file", "level", "pos", F.when(vx.is_text(F.col("v")), vx.text_at(F.col("v"), "$")).alias("uri")
     )

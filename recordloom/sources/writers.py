@@ -168,9 +168,11 @@ def write_split(df: DataFrame, reason: str, good_path: str, dead_path: str) -> N
 def write_dead_documents(docs: DataFrame, path: str) -> None:
     """Files whose body is no record, as JSON lines with the reason and the body.
 
-    They replace those of an earlier run.
+    A body as large as no JSON reader takes is left where it is, in `file`. The lines replace those
+    of an earlier run.
     """
-    dead = extract.malformed(docs).select("file", F.lit("bad json").alias("reason"), "body")
+    body = F.when(F.octet_length("body") <= extract.VARIANT_BYTES, F.col("body")).alias("body")
+    dead = extract.malformed(docs).select("file", extract.dead_reason(F.col("body")).alias("reason"), body)
     dead.write.mode("overwrite").json(path)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.functions import text as tx
+from recordloom.sources import files
 
 
 def list_item_stream(
@@ -79,12 +80,12 @@ def first_seen_stream(
         fresh.write.mode("overwrite").parquet(path)
         fresh = spark.read.schema(fresh.schema).parquet(path)
         # At most the files of one batch.
-        files = [r[0] for r in fresh.select("__place.__file").distinct().collect()]
+        met = [r[0] for r in fresh.select("__place.__file").distinct().collect()]
         target = f"{out}/batch={batch_id}"
-        if not files:
+        if not met:
             spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(target)
             return
-        rows = read_files(files)
+        rows = read_files(met)
         won = fresh.select(*[F.col(c).alias(f"__k_{c}") for c in names], "__place")
         same = F.lit(True)
         for c in names:
@@ -110,38 +111,19 @@ _POINTER = "_current"
 
 def _switch(spark: SparkSession, out: str, version: str) -> None:
     """Let the pointer of `out` name `version`, in one rename over the old pointer."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    pointer, fresh = fs.Path(f"{out}/{_POINTER}"), fs.Path(f"{out}/{_POINTER}.{version}")
-    files = fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
-    stream = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(fresh, True)
-    stream.write(bytearray(version.encode()))
-    stream.close()
-    overwrite = getattr(fs, "Options$Rename").OVERWRITE
-    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
-    options[0] = overwrite
-    files.rename(fresh, pointer, options)
+    files.put_mark(spark, f"{out}/{_POINTER}", version)
 
 
 def _drop_versions(spark: SparkSession, out: str, kept: set[str]) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(out)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
+    for folder in files.folders(spark, out):
+        name = folder.rpartition("/")[2]
         if name.startswith("version=") and name not in kept:
-            files.delete(status.getPath(), True)
+            files.drop(spark, folder)
 
 
 def current_version(spark: SparkSession, out: str) -> str | None:
     """Name of the version that the pointer of `out` names; none before the first batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{_POINTER}")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    # Not through a glob or a listing: names with an underscore are hidden there.
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    return files.read_mark(spark, f"{out}/{_POINTER}")
 
 
 def read_counters(spark: SparkSession, out: str) -> DataFrame:

@@ -67,6 +67,17 @@ def test_index(spark, tmp_path):
     assert [r.level for r in bad.collect()] == [7]
 
 
+def test_an_index_beyond_one_variant(spark, tmp_path):
+    uris = [f"http://x.org/{i}/" + "u" * 1000 for i in range(40_000)]
+    (tmp_path / "level3.index.json").write_text(json.dumps(uris))
+    (tmp_path / "level4.index.json").write_text('["u1", 5, "5"] x')
+    (tmp_path / "level5.index.json").write_text(' ["u1", 5, "5", {"a": 1}]\n')
+    good, bad = readers.read_index(spark, str(tmp_path))
+    assert good.filter("level = 3").agg(F.count_distinct("uri"), F.max("pos")).first()[:] == (40_000, 39_999)
+    assert [r.uri for r in good.filter("level = 5").orderBy("pos").collect()] == ["u1", None, "5", None]
+    assert [r.level for r in bad.collect()] == [4]
+
+
 def test_grid_file_names(spark):
     names = ["/f/aut_EQF12.ndjson", "/f/AUTX_eqf1.ndjson", "/f/AUT_eqf1.json", "FRA_eqf8.NDJSON"]
     df = spark.createDataFrame([(n,) for n in names], "file string")
