@@ -7,9 +7,8 @@ from the threshold: two sets with just that similarity share no table with a pro
 of about 2e-5 (12 halves at 0.85, 16 at 0.80).
 
 Documents with the same set form one class before anything else, so copies cost one
-row. In each bucket every member is compared with the bucket's first member; where
-members are still in different components after that, the remaining pairs are
-compared too, in blocks. A link counts only if the full sets confirm it.
+row. A shared table key only makes candidates; `linking` compares them on the full sets, until
+every pair that shares a key is in one component or was compared.
 
 Defined results: a null or empty text, or one of white space, has the empty set, is
 linked with nothing and is kept. Repeated rows stay rows and share a component. A row
@@ -18,9 +17,9 @@ without doc_id takes part; it is kept only if its component has no doc_id at all
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordloom.llm import arrays
+from recordloom.llm import arrays, linking
 from recordloom.llm.ship import ship, stored
 
 ROWS = 3
-BLOCK = 1024
-PART = 512
-# Chances to miss a pair of just the threshold: in no table, or by too few agreeing min-hashes.
+# Chance to miss a pair of just the threshold, since it shares no table.
 MISSED = 2.5e-5
-UNLIKE = 1e-6
 
 
 @dataclass(frozen=True)
@@ -45,7 +41,6 @@ class Banding:
 
     percent: int
     halves: int
-    least_agreeing: int
 
     @classmethod
     def of(cls, percent: int) -> Banding:
@@ -55,12 +50,7 @@ class Banding:
         halves = 1
         while 1 - (1 - (1 - alike**ROWS) ** halves) ** 2 > MISSED:
             halves += 1
-        n = 2 * halves * ROWS
-        least, below = 0, (1 - alike) ** n
-        while below <= UNLIKE and least < n:
-            least += 1
-            below += math.comb(n, least) * alike**least * (1 - alike) ** (n - least)
-        return cls(percent, halves, least)
+        return cls(percent, halves)
 
     @property
     def hashes(self) -> int:
@@ -76,20 +66,19 @@ def _min_hashes(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return lowest.astype(np.uint32)
 
 
-def _class_id(shingles: np.ndarray) -> int:
-    with np.errstate(over="ignore"):
-        total = arrays.mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))
-        return int(arrays.mix(np.array([total]))[0].astype(np.int64))
-
-
 def _sketches(batches: Iterator[pa.RecordBatch], band: Banding) -> Iterator[pa.RecordBatch]:
-    factors = arrays.mix(np.arange(1, band.hashes + 1, dtype=np.uint64)) | np.uint64(1)
+    """Size, class and, once a task for each class, the min-hashes."""
+    factors, seen = _factors(band), set()
     for batch in batches:
         sizes, ids, mins = [], [], []
         for shingles in arrays.shingle_sets(*arrays.text_buffer(batch["text"])):
+            cid = linking.class_id(shingles) if len(shingles) else None
+            fresh = cid is not None and cid not in seen
+            if fresh:
+                seen.add(cid)
             sizes.append(len(shingles))
-            ids.append(_class_id(shingles) if len(shingles) else None)
-            mins.append(_min_hashes(shingles, factors).tobytes() if len(shingles) else None)
+            ids.append(cid)
+            mins.append(_min_hashes(shingles, factors).tobytes() if fresh else None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"],
@@ -101,16 +90,8 @@ def _sketches(batches: Iterator[pa.RecordBatch], band: Banding) -> Iterator[pa.R
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, sets = [], []
-        for shingles in arrays.shingle_sets(*arrays.text_buffer(batch["text"])):
-            if len(shingles):
-                ids.append(_class_id(shingles))
-                sets.append(shingles.tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["cid", "shingles"]
-        )
+def _factors(band: Banding) -> np.ndarray:
+    return arrays.mix(np.arange(1, band.hashes + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def _half_keys(mins: np.ndarray) -> np.ndarray:
@@ -127,303 +108,40 @@ def _min_matrix(column: pa.Array, band: Banding) -> np.ndarray:
     return np.frombuffer(data, np.uint32).reshape(len(column), band.hashes)
 
 
-def _table_keys(batches: Iterator[pa.RecordBatch], band: Banding) -> Iterator[pa.RecordBatch]:
+def _keys_of(mins: np.ndarray, band: Banding) -> np.ndarray:
+    """rows x tables: one key of each collection, paired, and named by the table."""
     halves = band.halves
     tables = np.arange(halves * halves, dtype=np.uint64) << np.uint64(32)
+    half = _half_keys(mins)
+    first, second = half[:, :halves, None], half[:, None, halves:]
+    with np.errstate(over="ignore"):
+        pairs = (first * np.uint64(3) + second).reshape(len(half), -1)
+    return arrays.mix(pairs ^ tables)
+
+
+def _table_keys(batches: Iterator[pa.RecordBatch], band: Banding) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 2048):
             part = batch.slice(lo, 2048)
-            half = _half_keys(_min_matrix(part["mins"], band))
-            first, second = half[:, :halves, None], half[:, None, halves:]
-            with np.errstate(over="ignore"):
-                pairs = (first * np.uint64(3) + second).reshape(len(half), -1)
-            keys = arrays.mix(pairs ^ tables)
+            keys = _keys_of(_min_matrix(part["mins"], band), band)
             cids = part["cid"].to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys.ravel().view(np.int64)),
-                    pa.array(np.repeat(cids, halves * halves)),
-                ],
-                ["key", "cid"],
+                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(cids, keys.shape[1]))], ["key", "cid"]
             )
 
 
-def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of buckets of two or more, with the bucket's first member.
-
-    Rows come sorted by (key, cid); a bucket may run over many batches.
-    """
-    key, first, alone = None, 0, False
-    for batch in batches:
-        keys = batch["key"].to_numpy()
-        cids = batch["cid"].to_numpy()
-        if not len(keys):
-            continue
-        fresh = np.ones(len(keys), bool)
-        fresh[1:] = keys[1:] != keys[:-1]
-        fresh[0] = keys[0] != key
-        run = np.cumsum(fresh)
-        heads = np.concatenate([[first], cids[fresh]])
-        pivot = heads[run]
-        member = ~fresh
-        out_keys, out_pivots, out_cids = keys[member], pivot[member], cids[member]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out_keys), pa.array(out_pivots), pa.array(out_cids)],
-            ["key", "pivot", "cid"],
-        )
-        key, first = keys[-1], int(pivot[-1])
-
-
-def _overlap(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[float, bool]:
-    """Distance of two sorted sets, and whether they are linked."""
-    if len(x) > len(y):
-        x, y = y, x
-    place = np.searchsorted(y, x)
-    place[place == len(y)] = 0
-    both = int((y[place] == x).sum())
-    union = len(x) + len(y) - both
-    return 1 - both / union, 100 * both >= percent * union
-
-
-def _measured(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [
-            _overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent)
-            for a, b in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["a"],
-                batch["b"],
-                pa.array([f for f, _ in found], pa.float64()),
-                pa.array([linked for _, linked in found], pa.bool_()),
-            ],
-            ["a", "b", "far", "linked"],
-        )
-
-
-def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (`a`, `b`) with their distance and whether they are linked, by full sets."""
-    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(
-        lambda batches: _measured(batches, percent), "a long, b long, far double, linked boolean"
-    )
-
-
-def components(edges: DataFrame, tag: str) -> DataFrame:
-    """(`node`, `label`): the smallest node reachable over the edges (`a`, `b`).
-
-    Labels take the smallest label among the neighbours, then the label of their
-    label; every round is a stored table, and rounds go on until nothing changes.
-    """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.distinct(), f"{tag}-edges")
-    labels = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select(
-            "node", F.least("node", "n").alias("label")
-        ),
-        f"{tag}-labels",
-    )
-    while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        hooked = labels.join(near, "node").select(
-            "node", F.least("label", "near").alias("new"), F.col("label").alias("old")
-        )
-        jump = labels.select(F.col("node").alias("new"), F.col("label").alias("far"))
-        step = stored(
-            hooked.join(jump, "new", "left").select(
-                "node", F.coalesce(F.least("new", "far"), F.col("new")).alias("label"), "old"
-            ),
-            f"{tag}-labels",
-        )
-        labels = step.select("node", "label")
-        if step.filter(F.col("label") != F.col("old")).isEmpty():
-            return labels
+def _set_keys(shingles: np.ndarray, band: Banding) -> np.ndarray:
+    """The table keys of one set."""
+    return _keys_of(_min_hashes(shingles, _factors(band))[None], band)[0]
 
 
-def _open_pairs(group: pa.Table, parts: int, band: Banding) -> pa.Table:
-    """Pairs of a block pair that may be similar and are in different components.
-
-    A pair is given by one table only: the first in which both collections agree.
-    """
-    halves, percent = band.halves, band.percent
-    cids = group["cid"].to_numpy()
-    labels = group["label"].to_numpy()
-    sizes = group["n"].to_numpy()
-    own, far = group["own"].to_numpy(), group["far"].to_numpy()
-    blocks = group["block"].to_numpy()
-    lo, hi = int(group["lo"][0].as_py()), int(group["hi"][0].as_py())
-    key = np.int64(group["key"][0].as_py())
-    mins = _min_matrix(group["mins"].combine_chunks(), band)
-    half = _half_keys(mins)
-    with np.errstate(over="ignore"):
-        tables = arrays.mix(
-            (half[0, :halves, None] * np.uint64(3) + half[0, None, halves:]).ravel()
-            ^ (np.arange(halves * halves, dtype=np.uint64) << np.uint64(32))
-        )
-    table = int(np.flatnonzero(tables.view(np.int64) == key)[0])
-    p, q = divmod(table, halves)
-    left, right = np.flatnonzero(blocks == lo), np.flatnonzero(blocks == hi)
-    out_a, out_b = [], []
-    for i in left:
-        other = right[cids[right] > cids[i]] if lo == hi else right
-        other = other[labels[other] != labels[i]]
-        small, large = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
-        other = other[100 * small >= percent * large]
-        # Jaccard distance is a metric: two that lie apart by more than a link allows, as
-        # seen from the bucket's first member, are not linked.
-        other = other[np.abs(far[other] - far[i]) <= 1 - percent / 100 + 1e-9]
-        # Shingles that no other open set has are in no intersection.
-        most = np.minimum(sizes[other] - own[other], sizes[i] - own[i])
-        other = other[100 * most >= percent * (sizes[other] + sizes[i] - most)]
-        if not len(other):
-            continue
-        same = half[other] == half[i]
-        first = (same[:, :halves].argmax(1) == p) & (same[:, halves:].argmax(1) == q)
-        close = (mins[other] == mins[i]).sum(1) >= band.least_agreeing
-        other = other[first & close]
-        out_a += [np.full(len(other), cids[i])]
-        out_b += [cids[other]]
-    none = [np.empty(0, np.int64)]
-    return _packed_pairs(np.concatenate(out_a or none), np.concatenate(out_b or none), parts)
-
-
-_PAIRS = pa.schema(
-    [("part_a", pa.int32()), ("part_b", pa.int32()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))]
-)
-
-
-def _packed_pairs(a: np.ndarray, b: np.ndarray, parts: int) -> pa.Table:
-    """One row of pairs for each combination of the parts that `a` and `b` belong to."""
-    if not len(a):
-        return _PAIRS.empty_table()
-    part_a, part_b = a % parts, b % parts
-    order = np.lexsort((part_b, part_a))
-    a, b, combined = a[order], b[order], (part_a * parts + part_b)[order]
-    edges = np.flatnonzero(np.concatenate([[True], combined[1:] != combined[:-1], [True]]))
-    rows = [
-        {"part_a": int(combined[lo] // parts), "part_b": int(combined[lo] % parts), "a": a[lo:hi], "b": b[lo:hi]}
-        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
-    ]
-    return pa.Table.from_pylist(rows, _PAIRS)
-
-
-def _members(packs: pa.Table) -> pa.Table:
-    """Sets that the pairs of one combination of parts need."""
-    cids = np.unique(np.concatenate([packs[c].combine_chunks().flatten().to_numpy() for c in ("a", "b")]))
-    return pa.table(
-        {
-            "part_a": pa.array(np.full(len(cids), packs["part_a"][0].as_py(), np.int32)),
-            "part_b": pa.array(np.full(len(cids), packs["part_b"][0].as_py(), np.int32)),
-            "cid": cids,
-        }
-    )
-
-
-def _linked_pairs(packs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
-    """The pairs of one combination of parts that are linked, by their full sets."""
-    known = {
-        cid: np.frombuffer(data, np.uint64)
-        for cid, data in zip(sets["cid"].to_pylist(), sets["shingles"].to_pylist(), strict=True)
-    }
-    out: dict[str, list[int]] = {"a": [], "b": []}
-    for row in packs.to_pylist():
-        for a, b in zip(row["a"], row["b"], strict=True):
-            if _overlap(known[a], known[b], percent)[1]:
-                out["a"].append(a)
-                out["b"].append(b)
-    return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
-
-
-def _own_shingles(sets: DataFrame, open_: DataFrame) -> DataFrame:
-    """(`cid`, `own`): how many shingles of an open set no other open set has."""
-
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cid, data in zip(batch["cid"].to_pylist(), batch["shingles"].to_pylist(), strict=True):
-                shingles = np.frombuffer(data, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(shingles), cid)), pa.array(shingles)], ["cid", "shingle"]
-                )
-
-    return (
-        sets.join(open_, "cid", "left_semi")
-        .mapInArrow(exploded, "cid long, shingle long")
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.min("cid").alias("cid"))
-        .filter("n = 1")
-        .groupBy("cid")
-        .agg(F.count("*").alias("own"))
-    )
-
-
-def _remaining(
-    buckets: DataFrame,
-    labels: DataFrame,
-    classes: DataFrame,
-    sets: DataFrame,
-    stars: DataFrame,
-    band: Banding,
-) -> DataFrame:
-    """Links of a bucket beyond those with its first member, across components.
-
-    Pairs go first whose sizes, whose distances from the first member, or whose shingles
-    found nowhere else rule out a link. What is left is checked on the full sets, in
-    combinations of two parts of the open sets, so that only links become rows. A large bucket is taken as pairs of blocks, so no task holds more than two blocks.
-    """
-    labelled = buckets.join(labels, buckets["cid"] == labels["node"], "left").select(
-        "key", "pivot", "cid", F.coalesce("label", "cid").alias("label")
-    )
-    state = labelled.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")
-    )
-    mixed = state.filter(F.col("low") != F.col("high")).select(
-        "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")
-    )
-    open_rows = stored(labelled.join(mixed, "key"), "open")
-    own = _own_shingles(sets, open_rows.select("cid").distinct())
-    rows = (
-        open_rows.join(classes.select("cid", F.col("n_shingles").alias("n"), "mins"), "cid")
-        .join(stars.select(F.col("a").alias("pivot"), F.col("b").alias("cid"), "far"), ["pivot", "cid"])
-        .join(own, "cid", "left")
-        .withColumn("own", F.coalesce("own", F.lit(0)))
-        .withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("lo", F.least("block", "other"))
-        .withColumn("hi", F.greatest("block", "other"))
-        .select("key", "lo", "hi", "block", "cid", "label", "n", "own", "far", "mins")
-    )
-    parts = max(1, -(-open_rows.select("cid").distinct().count() // PART))
-    packs = stored(
-        rows.groupBy("key", "lo", "hi").applyInArrow(
-            lambda group: _open_pairs(group, parts, band),
-            "part_a int, part_b int, a array<long>, b array<long>",
-        ),
-        "pairs",
-    )
-    needed = (
-        packs.groupBy("part_a", "part_b")
-        .applyInArrow(_members, "part_a int, part_b int, cid long")
-        .join(sets, "cid")
-    )
-    return (
-        packs.groupBy("part_a", "part_b")
-        .cogroup(needed.groupBy("part_a", "part_b"))
-        .applyInArrow(lambda p, s: _linked_pairs(p, s, band.percent), "a long, b long")
-    )
-
-
-def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _placed(docs: DataFrame, percent: int, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The documents' sketches, and (`cid`, `rep`, `label`): each class with its component."""
     band = Banding.of(percent)
     ship(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        rows.mapInArrow(
             lambda batches: _sketches(batches, band), "doc_id long, n_shingles long, cid long, mins binary"
         ),
         "sketches",
@@ -431,51 +149,28 @@ def _placed(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     classes = stored(
         sketches.filter(F.col("cid").isNotNull())
         .groupBy("cid")
-        .agg(
-            F.min("doc_id").alias("rep"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("mins").alias("mins"),
-        ),
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles")),
         "classes",
     )
-    keys = classes.select("cid", "mins").mapInArrow(
+    keys = sketches.filter(F.col("mins").isNotNull()).select("cid", "mins").mapInArrow(
         lambda batches: _table_keys(batches, band), "key long, cid long"
     )
-    buckets = stored(
-        keys.repartition("key")
-        .sortWithinPartitions("key", "cid")
-        .mapInArrow(_shared_buckets, "key long, pivot long, cid long"),
-        "buckets",
-    )
-    stars = buckets.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
-    ends = stars.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    named = classes.join(ends, "cid", "left_semi").select("rep").distinct()
-    sets = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(named, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-        .mapInArrow(_sets, "cid long, shingles binary")
-        .dropDuplicates(["cid"]),
-        "sets",
+    pairs = linking.stars(keys, "near")
+    labels = linking.linked_components(
+        rows, pairs, classes, partial(_set_keys, band=band), arrays.SHINGLE, percent, limit
     )
-    stars = stored(measured(stars, sets, percent), "stars")
-    links = stars.filter("linked").select("a", "b")
-    labels = components(links, "star")
-    remaining = _remaining(buckets, labels, classes, sets, stars, band)
-    more = stored(remaining, "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more), "all")
     placed = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cid", "rep", F.coalesce("label", "cid").alias("label")
     )
     return sketches, placed
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, limit: int | None = None) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` for every document (`doc_id, text`).
 
-    Two documents are linked if their sets have a similarity of `percent` or more.
+    Two documents are linked if their sets have a similarity of `percent` or more. `limit`: see `linking`.
     """
-    sketches, placed = _placed(docs, percent)
+    sketches, placed = _placed(docs, percent, limit)
     lowest = placed.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = placed.join(lowest, "label").select("cid", "component_id")
     found = sketches.select("doc_id", "n_shingles", "cid").join(named, "cid", "left")
@@ -488,7 +183,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def _with_class(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = [
-            _class_id(shingles) if len(shingles) else None
+            linking.class_id(shingles) if len(shingles) else None
             for shingles in arrays.shingle_sets(*arrays.text_buffer(batch.column(batch.num_columns - 1)))
         ]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.int64())], names)

@@ -62,10 +62,10 @@ def test_against_brute_force(frame):
     assert sorted(map(tuple, got)) == brute(rows)
 
 
-def test_remaining_pairs_in_blocks(frame, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+def test_remaining_pairs_in_parts(frame):
+    """The copies are one group far above the limit: thinned, then the rest against all, in parts."""
     rows = list(enumerate(edited_copies(90, 3)))
-    got = near_dedup.near_duplicates(frame(rows)).collect()
+    got = near_dedup.near_duplicates(frame(rows), limit=1500).collect()
     assert sorted(map(tuple, got)) == brute(rows)
 
 

@@ -71,7 +71,7 @@ def test_stage_against_brute_force(spark, frame):
 
 
 def test_tables_follow_the_threshold():
-    assert near_dedup.Banding.of(85) == near_dedup.Banding(85, 12, 45)
+    assert near_dedup.Banding.of(85) == near_dedup.Banding(85, 12)
     for percent in (70, 80, 85, 95):
         band, alike = near_dedup.Banding.of(percent), percent / 100
         assert 1 - (1 - (1 - alike**near_dedup.ROWS) ** band.halves) ** 2 <= near_dedup.MISSED
