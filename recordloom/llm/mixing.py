@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.ship import stored
+from recordloom.llm.ship import set_aside, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix-1"
@@ -215,9 +215,10 @@ def with_copies(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     A share taken / size becomes whole copies by running sums from large to small
     documents, within a source and bucket of the seeded order, so that neighbours of
     about one size make up for each other. Rows without words stay once, and rows
-    that share doc_id, source and size share the number of copies.
+    that share doc_id, source and size share the number of copies. Other columns are kept,
+    whatever their names.
     """
-    rows = taken(stored(sized(docs, ["doc_id"]), "sized"), block_words)
+    rows = taken(stored(sized(docs.select("doc_id", "text", "source"), ["doc_id"]), "sized"), block_words)
     n, digits = rows.count(), 0
     while 16**digits * COPY_BUCKET_ROWS < n:
         digits += 1
@@ -234,12 +235,13 @@ def with_copies(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         .agg(F.max("times").alias("__times"))
         .filter(F.col("__times") > 0)
     )
-    named = sized(docs, docs.columns).select(
-        *[F.col(c) for c in docs.columns], F.col("order").alias("__order"), F.col("key").alias("__key")
+    inner = set_aside(docs, ["doc_id", "text", "source"])
+    named = sized(docs.toDF(*inner.values()), list(inner.values())).select(
+        *inner.values(), F.col("order").alias("__order"), F.col("key").alias("__key")
     )
     joined = named.join(
         counted.select(F.col("order").alias("__order"), F.col("key").alias("__key"), "__times"),
         ["__order", "__key"],
     )
     copied = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return copied.select(*docs.columns)
+    return copied.select(*[F.col(i).alias(c) for c, i in inner.items()])

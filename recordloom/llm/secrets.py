@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.fingerprint import let
-from recordloom.llm.ship import stored
+from recordloom.llm.ship import set_aside, stored
 
 
 @dataclass(frozen=True)
@@ -309,12 +309,12 @@ def listed(spans: Column, where: Callable[[Column], Column] | None = None) -> Co
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """`docs` with every span of its text replaced by a mark, and n_chars renewed.
+    """`docs` with every span of its text replaced by a mark, and n_chars, if there is one, renewed.
 
-    Spans that overlap are replaced together.
+    Spans that overlap are replaced together. Other columns are kept, whatever their names.
     """
-    columns = docs.columns
-    found = find_secrets(docs, columns)
+    inner = set_aside(docs, ["doc_id", "text"])
+    found = find_secrets(docs.toDF(*inner.values()), list(inner.values()))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, span: Column) -> Column:
@@ -335,10 +335,9 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         let(F.aggregate("spans", start, step), text)
     )
     changed = found.withColumn("__clean", clean)
-    named = {
-        "text": F.col("__clean"),
-        "n_chars": F.when(F.size("spans") == 0, F.col("n_chars"))
-        .otherwise(F.length("__clean"))
-        .cast(docs.schema["n_chars"].dataType),
-    }
-    return changed.select(*[named.get(c, F.col(c)).alias(c) for c in columns])
+    named = {"text": F.col("__clean")}
+    if "n_chars" in inner:
+        before = F.col(inner["n_chars"])
+        renewed = F.length("__clean").cast(docs.schema["n_chars"].dataType)
+        named["n_chars"] = F.when(F.size("spans") == 0, before).otherwise(renewed)
+    return changed.select(*[named.get(c, F.col(i)).alias(c) for c, i in inner.items()])

@@ -34,3 +34,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage."""
     return base.written_table(df, tag)
+
+
+def set_aside(df: DataFrame, used: list[str]) -> dict[str, str]:
+    """Names of the columns while an operator works: those in `used` as they are, all others out of the way."""
+    return {c: c if c in used else f"__column_{i}" for i, c in enumerate(df.columns)}
