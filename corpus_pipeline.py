@@ -10,16 +10,18 @@ and read again as the next one's docs. All but the last give the columns of docu
    words stay once.
 5. bpe: ids of every document, and the digests of ids and of what they decode to.
 
-Null and empty texts pass all stages. Additional columns are kept up to the last stage.
+Null and empty texts pass all stages. Additional columns are kept up to the last stage, whatever
+their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, mixing, near_dedup, secrets, toxicity
 from recordloom.llm.queries import tokenizer_file
-from recordloom.llm.ship import documents, ship, stored
+from recordloom.llm.ship import documents, set_aside, ship, stored
 
 # Percent of shared 5-word shingles that makes two documents near duplicates.
 NEAR_PERCENT = 80
@@ -27,9 +29,10 @@ NEAR_PERCENT = 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit(toxicity.labelled_rows(docs, labels))
-    scored = toxicity.score(docs, model, docs.columns)
-    return scored.filter("predicted = 0").select(*docs.columns)
+    model = toxicity.fit(toxicity.labelled_rows(docs.select("doc_id", "text"), labels))
+    inner = set_aside(docs, ["text"])
+    scored = toxicity.score(docs.toDF(*inner.values()), model, list(inner.values()))
+    return scored.filter("predicted = 0").select(*[F.col(i).alias(c) for c, i in inner.items()])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +49,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokens = bpe.read_ranks(tokenizer_file("byte_bpe_multi_50k.tiktoken"))
-    return bpe.digests(docs, tokens, ["doc_id", "lang", "source"], ids_too=True)
+    known = docs.select("doc_id", "lang", "source", "text")
+    return bpe.digests(known, tokens, ["doc_id", "lang", "source"], ids_too=True)
 
 
 STAGES = [
