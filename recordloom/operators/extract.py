@@ -81,16 +81,29 @@ def _label_search() -> Callable[[Column], Column]:
     return F.pandas_udf(search, "array<string>")
 
 
-def deep_country(doc: Column, body: Column) -> Column:
-    """First country label anywhere in the record, in document order.
+def country_labels(body: Column) -> Column:
+    """JSON texts of all country labels of a record; see `deep_country`."""
+    return _label_search()(body)
 
-    An object's own label comes before those of its parts; an empty label counts as none.
-    """
-    labels = _label_search()(F.when(doc.isNotNull(), body))
-    named = F.transform(labels, lambda t: F.nullif(vx.label_text(vx.parse_json(t), t), F.lit("")))
+
+def first_label(labels: Column) -> Column:
+    def named_by(t: Column) -> Column:
+        return tx.let(vx.parse_json(t), lambda v: F.nullif(vx.label_text(v, t), F.lit("")))
+
+    named = F.transform(labels, named_by)
     return F.get(F.filter(named, lambda t: t.isNotNull()), F.lit(0))
 
 
+def deep_country(body: Column) -> Column:
+    """First country label anywhere in the record, in document order; NULL for what is no record.
+
+    An object's own label comes before those of its parts; an empty label counts as none. Where
+    other fields come from the parsed record, take `country_labels` before parsing: next to
+    a UDF, the optimizer would parse the record again for every field.
+    """
+    return first_label(country_labels(body))
+
+
 # --- other fields -----------------------------------------------------------
 
 
@@ -312,11 +325,11 @@ def multilingual_records(
     d = F.col("__doc")
     raw = F.col(body)
     flat = _rows(
-        docs,
+        docs.withColumn("__labels", country_labels(raw)),
         body,
         watch,
         vx.text_at(d, "$.title", "").alias("title"),
-        F.coalesce(deep_country(d, raw), F.col(folder)).alias("country"),
+        F.coalesce(first_label(F.col("__labels")), F.col(folder)).alias("country"),
         multilingual_level(d, raw).alias("qualificationLevel"),
         vx.text_at(d, "$.description", "").alias("description"),
         ox.note_texts(d, raw).alias("notes"),

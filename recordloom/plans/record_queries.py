@@ -117,7 +117,7 @@ def label_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def deep_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(ad.multilingual_documents(spark, sf_dir)).select(
-        "doc_id", extract.deep_country(_doc(), F.col("body")).alias("country")
+        "doc_id", extract.deep_country(F.col("body")).alias("country")
     )
 
 

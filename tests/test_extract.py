@@ -61,7 +61,7 @@ def test_deep_country_equals_depth_first_search(spark):
     rng = random.Random(7)
     trees = [{"r": random_tree(rng, 6), "s": random_tree(rng, 5)} for _ in range(300)]
     parsed = vx.with_json(docs(spark, trees), "body", "doc")
-    found = parsed.select("file", extract.deep_country(F.col("doc"), F.col("body")).alias("c")).collect()
+    found = parsed.select("file", extract.deep_country(F.col("body")).alias("c")).collect()
     got = {r.file: r.c for r in found}
     expected = {f"d{i}.json": first_country(t) for i, t in enumerate(trees)}
     assert got == expected
@@ -73,7 +73,7 @@ def test_deep_country_in_a_deep_record(spark):
     for _ in range(200):
         node = {"a": [node]}
     parsed = vx.with_json(docs(spark, [node]), "body", "doc")
-    assert parsed.select(extract.deep_country(F.col("doc"), F.col("body")).alias("c")).first().c == "Deep"
+    assert parsed.select(extract.deep_country(F.col("body")).alias("c")).first().c == "Deep"
 
 
 def seconds(df):
@@ -98,7 +98,7 @@ def test_country_and_notes_take_linear_time(spark):
     taken = {}
     for n in (4000, 8000):
         parsed = vx.with_json(docs(spark, [record(n)]).coalesce(1), "body", "doc")
-        country = parsed.select(extract.deep_country(F.col("doc"), F.col("body")).alias("v"))
+        country = parsed.select(extract.deep_country(F.col("body")).alias("v"))
         notes = parsed.select(ox.note_texts(F.col("doc"), F.col("body")).alias("v"))
         assert country.first().v == "End"
         got = notes.first().v
