@@ -11,8 +11,8 @@ Everything is a Column expression on one row; nothing is shuffled for a fingerpr
 
 Defined results: a null or empty text, or one of white space, has the fingerprint '',
 which is fully like itself and not at all like any other. Repeated rows have equal
-fingerprints. `with_next` orders rows by (doc_id, text), rows without doc_id first, and
-the last one is followed by the first one (a single row by itself).
+fingerprints. `with_next` orders rows by doc_id, then by a hash of the text and the
+text, rows without doc_id first; the last one is followed by the first one (a single row by itself).
 """
 
 from __future__ import annotations
@@ -22,9 +22,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordloom.operators import ranges
+
 BINS = 256
 SHINGLE = 5
+# Probes by arithmetic alone, before an order of all bins is made.
 PROBES = 32
+RANGE_ROWS = 4096
 _PRIME = 65_521
 _VALUE_BITS = 56
 _LOW = (1 << _VALUE_BITS) - 1
@@ -85,10 +89,18 @@ def bin_values(text: Column) -> Column:
     def densified(values: Column) -> Column:
         def filled(x: Column, i: Column) -> Column:
             tries = [F.get(values, _probe(i, j)) for j in range(PROBES)]
-            # After that many empty bins: the next filled one, around the end.
-            onward = F.concat(F.slice(values, i + 1, F.lit(BINS)), values)
-            last = F.get(F.filter(onward, lambda v: v.isNotNull()), F.lit(0))
-            return F.coalesce(x, *tries, last)
+            return F.coalesce(x, *tries, onward(i))
+
+        # After that many empty bins, the bin goes on through an order of all bins of its own: the
+        # filled bin that comes first there is the one with the smallest hash of both.
+        places = F.sequence(F.lit(0), F.lit(BINS - 1))
+
+        def onward(i: Column) -> Column:
+            order = F.transform(
+                F.filter(places, lambda b: F.get(values, b).isNotNull()),
+                lambda b: F.struct(F.xxhash64(i, b).alias("h"), F.get(values, b).alias("v")),
+            )
+            return F.array_min(order)["v"]
 
         return F.transform(values, filled)
 
@@ -119,51 +131,28 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def with_next(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, Window]:
-    """Rows (`doc_id`, `text`) in buckets of neighbouring ids, and the window over them.
+def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> tuple[DataFrame, Window]:
+    """Rows (`doc_id`, `text`) in ranges of neighbouring ids, and the window over them.
 
-    A bucket ends with a copy of the next bucket's first row (`ghost`), the last one with
-    the table's first, so that `lead` over the window sees every successor. Bucket limits
-    are quantiles of the id, so buckets hold about equally many rows.
+    Rows of one id, or without id, are ordered by a hash of the text, so that they are cut in
+    ranges too. A range ends with a copy of the next range's first row (`ghost`), the last one
+    with the table's first, so that `lead` over the window sees every successor.
     """
-    spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / buckets for i in range(1, buckets)]
-    ids = docs.select("doc_id")
-    limits = ids.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else []
-    limits = sorted(set(limits or []))
-
-    def bucket(doc_id: Column) -> Column:
-        if not limits:
-            return F.lit(0)
-        known = F.array(*[F.lit(x).cast("long") for x in limits])
-        return F.when(doc_id.isNull(), 0).otherwise(F.size(F.filter(known, lambda x: x < doc_id)))
-
-    # One row per bucket.
-    state = (
-        ids.groupBy(bucket(F.col("doc_id")).alias("bucket"))
-        .agg(F.min("doc_id").alias("first"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
-        .collect()
-    )
-    state = sorted((r["bucket"], None if r["nulls"] else r["first"]) for r in state)
-    rows = docs.select(
-        bucket(F.col("doc_id")).alias("bucket"), F.lit(False).alias("ghost"), "doc_id", "text"
-    )
-    for_null = F.lit(None).cast("int")
-    known_ids, target = [], for_null
-    for (here, _), (_, first) in zip(state, state[1:] + state[:1], strict=True):
-        if first is None:
-            target = F.when(F.col("doc_id").isNull(), here).otherwise(target)
-        else:
-            known_ids.append(first)
-            target = F.when(F.col("doc_id") == first, here).otherwise(target)
-    wanted = F.col("doc_id").isin(known_ids)
-    if any(first is None for _, first in state):
-        wanted = wanted | F.col("doc_id").isNull()
-    ghosts = docs.filter(wanted).groupBy("doc_id").agg(F.min("text").alias("text"))
-    copies = ghosts.select(target.alias("bucket"), F.lit(True).alias("ghost"), "doc_id", "text")
-    window = Window.partitionBy("bucket").orderBy("ghost", F.col("doc_id").asc_nulls_first(), "text")
-    return (rows.unionByName(copies) if state else rows), window
+    order = ["doc_id", "__tie"]
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("__tie"), "text")
+    limits = ranges.range_limits(keyed, order, range_rows)
+    rows = keyed.withColumn("bucket", ranges.range_of(keyed, order, limits))
+    # One narrow row for each range, at most `ranges.MOST_RANGES`.
+    heads = rows.groupBy("bucket").agg(F.min(F.struct(*order)).alias("head")).select("bucket", "head.*")
+    before, every = Window.orderBy("bucket"), Window.partitionBy(F.lit(0))
+    target = F.coalesce(F.lag("bucket").over(before), F.max("bucket").over(every)).alias("__target")
+    heads = heads.select(target, F.col("doc_id").alias("__id"), F.col("__tie").alias("__hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__tie") == F.col("__hash"))
+    met = rows.join(F.broadcast(heads), same)
+    ghosts = met.groupBy(F.col("__target").alias("bucket"), *order).agg(F.min("text").alias("text"))
+    both = rows.withColumn("ghost", F.lit(False)).unionByName(ghosts.withColumn("ghost", F.lit(True)))
+    window = Window.partitionBy("bucket").orderBy("ghost", F.col("doc_id").asc_nulls_first(), "__tie", "text")
+    return both, window
 
 
 def edited_neighbours(docs: DataFrame) -> DataFrame:
@@ -189,7 +178,7 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
         .withColumn("edited", F.when(~F.col("ghost"), edited))
     )
     marked = both.select(
-        "bucket", "ghost", "doc_id", "text", F.col("n").cast("long").alias("n_chars"),
+        "bucket", "ghost", "doc_id", "__tie", "text", F.col("n").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         bin_values(F.col("text")).alias("bins"),
         F.when(~F.col("ghost"), bin_values(F.col("edited"))).alias("edited_bins"),
