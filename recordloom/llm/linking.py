@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from recordloom.llm import arrays
 from recordloom.llm.ship import stored
 
-LIMIT = 1 << 20
+LIMIT = 1 << 19
 GATHERED = 1 << 20
-FOREST = 1 << 18
+FOREST = 1 << 17
 
 Keys = Callable[[np.ndarray], np.ndarray]
 
@@ -191,10 +191,16 @@ def _buckets(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return owner[shared], np.unique(number[shared], return_inverse=True)[1]
 
 
-def _grouped(values: np.ndarray, by: np.ndarray, n: int) -> list[np.ndarray]:
-    """`values` split by `by`, for 0 to n - 1."""
-    order = np.argsort(by, kind="stable")
-    return np.split(values[order], np.searchsorted(by[order], np.arange(1, n)))
+class Lists:
+    """`values` split by `by` (0 to n - 1), side by side in one array."""
+
+    def __init__(self, values: np.ndarray, by: np.ndarray, n: int):
+        order = np.argsort(by, kind="stable")
+        self.values = values[order]
+        self.edges = np.searchsorted(by[order], np.arange(n + 1))
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.values[self.edges[i] : self.edges[i + 1]]
 
 
 def joining_links(
@@ -212,22 +218,21 @@ def joining_links(
     if not len(member):
         return links
     n_buckets = int(bucket[-1]) + 1
-    in_bucket = _grouped(member, bucket, n_buckets)
+    in_bucket = Lists(member, bucket, n_buckets)
     flag = np.zeros(len(sets), bool)
 
-    def compare(x: int, met: list[np.ndarray]) -> None:
-        if all((known.root[m] == known.root[x]).all() for m in met):
-            return
-        for m in met:
-            flag[m] = True
+    def compare(x: int, buckets: np.ndarray) -> None:
+        for b in buckets.tolist():
+            flag[in_bucket[b]] = True
         others = np.flatnonzero(flag)
         flag[others] = False
         others = others[known.root[others] != known.root[x]]
         links.extend((x, y) for y in known.join(x, known.linked(x, others)))
 
-    heads = np.array([m[0] for m in in_bucket])
-    for x, numbers in zip(*_runs(heads), strict=True):
-        compare(x, [in_bucket[b] for b in numbers])
+    heads, of_head = np.unique(member[in_bucket.edges[:-1]], return_inverse=True)
+    headed = Lists(np.arange(n_buckets), of_head, len(heads))
+    for i, x in enumerate(heads.tolist()):
+        compare(x, headed[i])
     # What is left lies outside of the largest component of a group: all others there are one.
     pairs, back, count = np.unique(np.stack([groups, known.root], 1), axis=0, return_inverse=True, return_counts=True)
     largest = np.zeros(len(pairs), bool)
@@ -235,18 +240,12 @@ def joining_links(
     last = np.concatenate([pairs[order][1:, 0] != pairs[order][:-1, 0], [True]])
     largest[order[last]] = True
     rest = asks & ~largest[back.ravel()]
-    of_member = _grouped(bucket, member, len(sets))
+    of_member = Lists(bucket, member, len(sets))
     for x in np.flatnonzero(rest).tolist():
-        compare(x, [in_bucket[b] for b in of_member[x]])
+        compare(x, of_member[x])
     return links
 
 
-def _runs(values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    """Distinct values, and for each the places that hold it."""
-    distinct, back = np.unique(values, return_inverse=True)
-    return distinct.tolist(), _grouped(np.arange(len(values)), back, len(distinct))
-
-
 def _joined(table: pa.Table, keys: Keys, percent: int) -> pa.Table:
     cids, first, back = np.unique(table["cid"].to_numpy(), return_index=True, return_inverse=True)
     asks = np.zeros(len(cids), bool)
@@ -380,7 +379,7 @@ def linked_components(
     members = members.join(totals, "grp")
     small, large = members.filter(F.col("total") <= limit), members.filter(F.col("total") > limit)
     weight = small.agg(F.sum("n")).first()[0] or 0
-    bins = max(1, -(-2 * weight // limit))
+    bins = max(1, -(-4 * weight // limit))
     seats = small.select(
         "cid", "rep", "grp", F.col("cid").alias("label"), F.lit(True).alias("asks"),
         F.lit(-1).alias("r"), F.pmod(F.xxhash64("grp"), F.lit(bins)).cast("int").alias("c"),

@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.llm import arrays, linking
-from recordloom.llm.ship import ship, stored
+from recordloom.llm.ship import arrow_rows, ship, stored
 
 ROWS = 3
+BATCH_ROWS = 2000
 # Chance to miss a pair of just the threshold, since it shares no table.
 MISSED = 2.5e-5
 
@@ -170,7 +171,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, limit: int | None = None
 
     Two documents are linked if their sets have a similarity of `percent` or more. `limit`: see `linking`.
     """
-    sketches, placed = _placed(docs, percent, limit)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        sketches, placed = _placed(docs, percent, limit)
     lowest = placed.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = placed.join(lowest, "label").select("cid", "component_id")
     found = sketches.select("doc_id", "n_shingles", "cid").join(named, "cid", "left")
@@ -195,7 +197,8 @@ def without_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Rows with the empty set are in no component and all stay. Of several rows with that
     doc_id in one class, the one with the smallest text stays.
     """
-    _, placed = _placed(docs, percent)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        _, placed = _placed(docs, percent)
     first = F.struct(F.col("rep").isNull(), "rep", "cid")
     best = placed.groupBy("label").agg(F.min_by(F.struct("cid", "rep"), first).alias("best"))
     # The id is part of the key: many copies of one text with ids of their own are many keys.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +41,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 def set_aside(df: DataFrame, used: list[str]) -> dict[str, str]:
     """Names of the columns while an operator works: those in `used` as they are, all others out of the way."""
     return {c: c if c in used else f"__column_{i}" for i, c in enumerate(df.columns)}
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs in here: less memory for JVM and worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
