@@ -206,7 +206,7 @@ v AS (
     row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS pos FROM w),
 f AS (SELECT min(pos) AS pos, arg_min(level, pos) AS level FROM v WHERE cap > level * weight),
 g AS (
-  SELECT source, source_size, greatest(1, least(1024, total // 100000)) AS l,
+  SELECT source, source_size, 16 AS l,
     CASE WHEN v.pos >= f.pos THEN f.level * weight ELSE cap END AS target FROM v, f),
 b AS (
   SELECT *, CASE WHEN source_size > 0 THEN greatest(1, source_size // l) ELSE 0 END AS n FROM g),

@@ -291,8 +291,7 @@ def test_mix_of_odd_rows(spark):
 
 def test_shard_quotas_add_up(spark):
     due = spark.createDataFrame([("va", "a", 10.2), ("vb", "b", 29.8), ("n", None, 0.0)], "key string, source string, due double")
-    given = mixing.seats(due)
-    quotas = mixing.shard_quotas(given, 10).collect()
+    quotas = mixing.shard_quotas(due, 10).collect()
     assert sorted((r.shard, r.source, r.blocks) for r in quotas)[0] == (0, "a", 3)
     totals = collections.Counter()
     for r in quotas:
