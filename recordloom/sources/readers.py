@@ -61,8 +61,9 @@ def read_ndjson(spark: SparkSession, path: str | list[str], **options: str) -> D
 def numbered_lines(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """Every line, blank ones included, with its number within its file from 1.
 
-    A file may be read as many blocks. Lines are numbered within their block,
-    and the line counts of the file's earlier blocks are added.
+    A file may be read as many blocks. The lines of a block have running ids, so a line's
+    distance from the block's first is its number there, and no line is sorted; the line counts
+    of the file's earlier blocks are added.
     """
     lines = _text(spark, path, **options).select(
         F.col("_metadata.file_path").alias("file"),
@@ -70,17 +71,15 @@ def numbered_lines(spark: SparkSession, path: str | list[str], **options: str) -
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
     )
-    in_block = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
-    counts = lines.groupBy("file", "block").agg(F.count("*").alias("n"))
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     earlier = (
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    skipped = counts.select(
-        "file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skipped")
-    )
-    numbered = lines.withColumn("in_block", in_block)
-    return numbered.join(skipped, ["file", "block"]).select(
-        "file", (F.col("skipped") + F.col("in_block")).alias("line_no"), "line"
+    skipped = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    starts = blocks.select("file", "block", (skipped - F.col("first") + 1).alias("shift"))
+    # One row per block: each task holds those of its blocks in a hash table.
+    return lines.join(starts.hint("shuffle_hash"), ["file", "block"]).select(
+        "file", (F.col("at") + F.col("shift")).alias("line_no"), "line"
     )
 
 

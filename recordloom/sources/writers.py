@@ -76,15 +76,12 @@ def level_document_lines(items: DataFrame, item: str = "item") -> DataFrame:
     )
     zero = F.lit(0).cast("bigint")
 
-    def fixed(section: int, line: Column) -> DataFrame:
-        return per_level.select(
-            "level",
-            F.lit(section).alias("section"),
-            zero.alias("from"),
-            zero.alias("pos"),
-            line.alias("line"),
-        )
+    def edge(section: int, line: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), line.alias("line"))
 
+    edges = per_level.select("level", F.explode(F.array(edge(0, head), edge(2, F.lit("]}")))).alias("e")).select(
+        "level", "e.section", zero.alias("from"), zero.alias("pos"), "e.line"
+    )
     is_first = (F.col("from") == F.col("first.from")) & (F.col("pos") == F.col("first.pos"))
     body = items.join(per_level, "level").select(
         "level",
@@ -93,7 +90,7 @@ def level_document_lines(items: DataFrame, item: str = "item") -> DataFrame:
         F.col("pos").cast("bigint").alias("pos"),
         F.concat(F.when(is_first, "").otherwise(","), F.col(item)).alias("line"),
     )
-    return fixed(0, head).unionByName(body).unionByName(fixed(2, F.lit("]}")))
+    return edges.unionByName(body)
 
 
 def write_level_documents(items: DataFrame, path: str, item: str = "item") -> None:

@@ -185,3 +185,15 @@ def test_shared_folder_is_needed_on_a_cluster():
     assert shared_dir(session("local[2]", None))
     with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
         shared_dir(session("spark://host:7077", None))
+
+
+def test_lines_are_numbered_in_order_without_sorting_them(spark, tmp_path, small_splits):
+    lines = {name: [f"{name} {i}" if i % 7 else "" for i in range(n)] for name, n in (("a", 3000), ("b", 1), ("c", 40))}
+    for name, texts in lines.items():
+        (tmp_path / f"{name}.txt").write_text("".join(t + "\n" for t in texts))
+    blocks = spark.read.text(str(tmp_path)).select("_metadata.file_path", "_metadata.file_block_start").distinct()
+    numbered = readers.numbered_lines(spark, str(tmp_path))
+    got = sorted((Path(r.file).stem, r.line_no, r.line) for r in numbered.collect())
+    assert blocks.count() > 3
+    assert got == [(name, i + 1, t) for name in "abc" for i, t in enumerate(lines[name])]
+    assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
