@@ -48,8 +48,7 @@ def ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per record, as the operator expects its input."""
     path = scratch_path(spark, "documents")
-    pages = table(spark, sf_dir, "pages")
-    pages.write.option("maxRecordsPerFile", 1).json(path)
+    writers.write_documents(table(spark, sf_dir, "pages"), path)
     docs = vx.with_json(readers.read_documents(spark, path), "body", "doc")
     doc = F.col("doc")
     return docs.select(

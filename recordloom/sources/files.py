@@ -10,6 +10,13 @@ def _opened(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path as a plain one, if it lies on a mounted file system; else None."""
+    place, system = _opened(spark, path)
+    uri = system.makeQualified(place).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Folders in a folder, in order of their names; none if it does not exist."""
     place, system = _opened(spark, path)

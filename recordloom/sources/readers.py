@@ -96,19 +96,18 @@ def lines_after(lines: DataFrame, ledger: DataFrame) -> DataFrame:
 def read_documents(
     spark: SparkSession, path: str | list[str], recursive: bool = True
 ) -> DataFrame:
-    """One row per JSON file: `file` path, `name`, `folder`, `body` text."""
-    docs = spark.read.text(
-        path,
-        wholetext=True,
-        recursiveFileLookup=recursive,
-        pathGlobFilter="*.[jJ][sS][oO][nN]",
-    )
+    """One row per JSON file: `file` path, `name`, `folder`, `body` text.
+
+    Read as binary files: Spark's text source copies the Hadoop settings anew for every file.
+    """
+    options = {"recursiveFileLookup": recursive, "pathGlobFilter": "*.[jJ][sS][oO][nN]"}
+    docs = spark.read.format("binaryFile").options(**options).load(path)
     file = F.col("_metadata.file_path")
     return docs.select(
         file.alias("file"),
         base_name(file).alias("name"),
         folder_name(file).alias("folder"),
-        F.col("value").alias("body"),
+        F.col("content").cast("string").alias("body"),
     )
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from pyspark.sql import types as T
 from recordloom.functions import text as tx
 from recordloom.operators import extract, ledger
 from recordloom.session import written_table
+from recordloom.sources import files
 
 
 def write_ndjson(
@@ -27,6 +31,38 @@ def write_ndjson(
     df.write.mode(mode).partitionBy(*partition_by).json(path)
 
 
+def write_documents(df: DataFrame, path: str, per_folder: int = 1000) -> None:
+    """One JSON file per row, `per_folder` of them in a folder, so that many tasks list them.
+
+    On a mounted folder the tasks write the files themselves: there Hadoop starts several processes
+    for every file it creates, to set its mode. A file gets its name when it is whole; a task that
+    is run again writes the same names.
+    """
+    place = files.mounted(df.sparkSession, path)
+    if place is None:
+        df.write.option("maxRecordsPerFile", 1).json(path)
+        return
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        nr = 0
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                folder = f"{place}/{task.partitionId():05d}-{nr // per_folder:05d}"
+                if nr % per_folder == 0:
+                    os.makedirs(folder, exist_ok=True)
+                fresh = f"{folder}/.{nr}-{task.taskAttemptId()}"
+                with open(fresh, "w", encoding="utf-8", newline="") as out:
+                    out.write(text + "\n")
+                os.replace(fresh, f"{folder}/{nr}.json")
+                nr += 1
+        yield pa.RecordBatch.from_arrays([pa.array([nr])], ["n"])
+
+    os.makedirs(place, exist_ok=True)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    df.select(F.to_json(row).alias("text")).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def country_lines(lines: DataFrame) -> DataFrame:
     """Trimmed non-blank lines (`country, level, file, line_no, line`) in merge order."""
     trimmed = lines.withColumn("line", tx.trim_ws(F.col("line"))).filter(F.col("line") != "")

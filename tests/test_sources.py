@@ -59,6 +59,22 @@ def test_documents_any_depth(spark, tmp_path):
     assert [r.name for r in flat] == ["b.JSON"]
 
 
+def test_documents_are_written_one_a_file_in_bounded_folders(spark, tmp_path):
+    odd = ['a "quoted"\r\n\u2028 line', "", None, "\u00e9\U0001f600"]
+    df = spark.createDataFrame([(k, odd[k % 4]) for k in range(50)], "`i d` int, t string").repartition(3)
+    path = str(tmp_path / "docs")
+    writers.write_documents(df, path, per_folder=7)
+    found = [p for p in Path(path).rglob("*") if p.is_file()]
+    assert len(found) == 50 and {p.suffix for p in found} == {".json"}
+    assert max(len(list(d.iterdir())) for d in Path(path).iterdir()) <= 7
+    bodies = [r.body for r in readers.read_documents(spark, path).collect()]
+    df.coalesce(1).write.json(str(tmp_path / "plain"))
+    plain = "".join(p.read_text(newline="") for p in (tmp_path / "plain").glob("part-*"))
+    assert sorted(bodies) == sorted(x + "\n" for x in plain.split("\n")[:-1])
+    # A plan over binary files: the text source copies the settings for every file.
+    assert "FileScan binaryFile" in readers.read_documents(spark, path)._jdf.queryExecution().toString()
+
+
 def test_index(spark, tmp_path):
     (tmp_path / "level1.index.json").write_text(json.dumps(["u1", "u2", None], indent=2))
     (tmp_path / "level7.index.json").write_text('{"no":"array"}')
