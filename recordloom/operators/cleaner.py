@@ -7,6 +7,8 @@ from functools import reduce
 from operator import or_
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from recordloom.functions.text import let
 
 TEXT_COLUMNS = ("description", "learningOutcomes")
 MISSING = "the cleaner left out a text column"
+# Most that a hook gets at once: rows, and bytes of their texts unless one row has more.
+HOOK_ROWS, HOOK_BYTES = 1000, 1 << 22
 
 
 def clean_text(c: Column) -> Column:
@@ -95,9 +99,10 @@ def hook_schema(key: str, key_type: str, columns: Sequence[str]) -> str:
 def apply_hook(
     df: DataFrame, key: str, hook: RowCleaner, columns: Sequence[str] = TEXT_COLUMNS
 ) -> DataFrame:
-    """Run a user's cleaner over Arrow batches; one result row per input row.
+    """Run a user's cleaner over parts of Arrow batches; one result row per input row.
 
-    The hook gets a batch with the text columns and returns, in the same order,
+    The hook gets a few rows with the text columns (`HOOK_ROWS`, `HOOK_BYTES`), so that only
+    they are Python objects at a time, however many rows a batch has. It returns, in the same order,
     those columns cleaned plus `<column>_removed` lists, and if it likes an `error`
     column that names the rows it could not clean. A batch that raises is halved until
     the failing rows stand alone, and only those carry the `error`.
@@ -126,21 +131,32 @@ def apply_hook(
         is_list = not isinstance(value, str) and hasattr(value, "__iter__")
         return [str(v) for v in value] if is_list else []
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            part = part.reset_index(drop=True)
-            result = by_halves(part)
-            out = part.copy()
+    most_rows, most_bytes = HOOK_ROWS, HOOK_BYTES
+
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ends = sum(pc.binary_length(batch[c]).to_numpy().astype("int64") for c in texts).cumsum()
+        lo = 0
+        while lo < batch.num_rows:
+            fit = ends.searchsorted((ends[lo - 1] if lo else 0) + most_bytes, "right")
+            hi = min(max(lo + 1, int(fit)), lo + most_rows, batch.num_rows)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in rows for p in parts(batch)):
+            result = by_halves(part.select(texts).to_pandas())
+            out = [part[key]]
             for c in texts:
-                got = result[c]
-                out[f"{c}_cleaned"] = [None if pd.isna(v) else str(v) for v in got]
-                out[f"{c}_removed"] = [removed_list(v) for v in result[f"{c}_removed"]]
-            out["error"] = result["error"]
-            yield out
+                cleaned = [None if pd.isna(v) else str(v) for v in result[c]]
+                removed = [removed_list(v) for v in result[f"{c}_removed"]]
+                out += [part[c], pa.array(cleaned, part[c].type), pa.array(removed, pa.list_(part[c].type))]
+            errors = [None if pd.isna(e) else e for e in result["error"]]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(errors, part[c].type)], names)
 
+    names = [key, *[n for c in texts for n in (c, f"{c}_cleaned", f"{c}_removed")], "error"]
     key_type = df.schema[key].dataType.simpleString()
     source = df.select(key, *[tx.or_empty(F.col(c)).alias(c) for c in columns])
-    return source.mapInPandas(batches, hook_schema(key, key_type, columns))
+    return source.mapInArrow(batches, hook_schema(key, key_type, columns))
 
 
 def checked(results: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:

@@ -74,3 +74,23 @@ def test_a_hook_may_name_its_bad_rows(spark):
 
     got = {r.k: r.error for r in cleaner.hook_rows(cleaner.apply_hook(rows(spark), "k", hook), "k").collect()}
     assert got == {k: "no" if k % 7 == 3 else None for k in range(20)}
+
+
+def test_a_hook_gets_few_rows_and_bytes_at_once(spark, monkeypatch):
+    """However many rows an Arrow batch has, only a part of them are Python objects at a time."""
+    monkeypatch.setattr(cleaner, "HOOK_ROWS", 8)
+    monkeypatch.setattr(cleaner, "HOOK_BYTES", 100)
+
+    def hook(batch):
+        size = int(sum(batch[c].str.len().sum() for c in cleaner.TEXT_COLUMNS))
+        note = f"{len(batch)} {size}"
+        return batch.assign(description_removed=[[note, None]] * len(batch), error=["no" if d == "bad" else None for d in batch["description"]])
+
+    data = [(None if i == 3 else i, "x" * 300 if i % 10 == 4 else None if i % 10 == 5 else "bad" if i == 9 else "ab", "cd") for i in range(50)]
+    df = spark.createDataFrame(data, "k long, description string, learningOutcomes string").coalesce(1)
+    got = cleaner.apply_hook(df, "k", hook).collect()
+    assert [(r.k, r.description, r.description_cleaned) for r in got] == [(k, d or "", d or "") for k, d, _ in data]
+    assert [r.error for r in got] == ["no" if i == 9 else None for i in range(50)]
+    parts = [tuple(map(int, r.description_removed[0].split())) for r in got]
+    assert all(n <= 8 and (size <= 100 or n == 1) for n, size in parts) and max(n for n, _ in parts) > 2
+    assert {r.description_removed[1] for r in got} == {"None"} and {tuple(r.learningOutcomes_removed) for r in got} == {()}
