@@ -6,7 +6,8 @@ every set moves once, to the task of its group: there the buckets are formed aga
 sets, and pairs of a bucket that are not in one component yet are compared. Of a component,
 only links that join something become rows.
 
-Many small groups share a task. A group of more than `limit` shingles is first thinned: each set
+Many small groups share a task. The sets of groups of more than `limit` shingles are stored on the way, so
+that texts are read and moved once, whatever the groups. Such a group is first thinned: each set
 is compared with one other, the first of a bucket, and what this joins needs no comparison any more.
 If sets outside of the largest component are left, they (in parts of `limit`) meet all sets
 of the group (in parts of `limit`). Every pair that shares a bucket is in one component at
@@ -247,6 +248,7 @@ def joining_links(
 
 
 def _joined(table: pa.Table, keys: Keys, percent: int) -> pa.Table:
+    """(`a`, `b`): the links found among the sets of one task."""
     cids, first, back = np.unique(table["cid"].to_numpy(), return_index=True, return_inverse=True)
     asks = np.zeros(len(cids), bool)
     np.logical_or.at(asks, back, table["asks"].to_numpy(zero_copy_only=False))
@@ -258,6 +260,18 @@ def _joined(table: pa.Table, keys: Keys, percent: int) -> pa.Table:
     return pa.table({"a": cids[pairs[:, 0]], "b": cids[pairs[:, 1]]})
 
 
+def _joined_or_kept(table: pa.Table, keys: Keys, percent: int) -> pa.Table:
+    """Rows (`a`, `b`) of links of small groups, or (`cid`, `shingles`) as they came of large ones."""
+    if table["large"][0].as_py():
+        return table.select(["cid", "shingles"]).add_column(0, "b", pa.nulls(len(table), pa.int64())).add_column(
+            0, "a", pa.nulls(len(table), pa.int64())
+        )
+    found = _joined(table, keys, percent)
+    return found.append_column("cid", pa.nulls(len(found), pa.int64())).append_column(
+        "shingles", pa.nulls(len(found), table["shingles"].type)
+    )
+
+
 # --- the whole -----------------------------------------------------------------
 
 
@@ -305,11 +319,9 @@ def sets_of(docs: DataFrame, seats: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _thinned(docs: DataFrame, pairs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """(`a`, `b`): links found by comparing each set of a large group with one other set."""
+def _thinned(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(`a`, `b`): links found by comparing each set of a large group (`cid`, `shingles`) with one other set."""
     one = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    ends = one.select(F.col("a").alias("cid")).unionByName(one.select(F.col("b").alias("cid"))).distinct()
-    sets = stored(sets_of(docs, members.join(ends, "cid", "left_semi").select("cid", "rep"), width), "sets")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,10 +338,10 @@ def _thinned(docs: DataFrame, pairs: DataFrame, members: DataFrame, width: int,
 
 
 def _seats(large: DataFrame, links: DataFrame, limit: int) -> DataFrame:
-    """Seats of large groups (`cid, rep, n, grp, total`): what the links leave over meets all, in parts."""
+    """Seats of large groups (`cid, n, grp, total`): what the links leave over meets all, in parts."""
     found = components(links, "thin")
     state = large.join(found, large["cid"] == found["node"], "left").select(
-        "cid", "rep", "n", "grp", "total", F.coalesce("label", "cid").alias("label")
+        "cid", "n", "grp", "total", F.coalesce("label", "cid").alias("label")
     )
     state = stored(state, "state")
     sizes = state.groupBy("grp", "label").agg(F.sum("n").alias("size"))
@@ -346,7 +358,7 @@ def _seats(large: DataFrame, links: DataFrame, limit: int) -> DataFrame:
         (F.col("label") != F.col("main")).alias("asks"),
     )
     spot = F.xxhash64("cid")
-    seats = ["cid", "rep", "grp", "label"]
+    seats = ["cid", "grp", "label"]
     every = placed.select(
         *seats, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"),
         F.pmod(spot, "columns").cast("int").alias("c"),
@@ -376,27 +388,31 @@ def linked_components(
         "members",
     )
     totals = members.groupBy("grp").agg(F.sum("n").alias("total"))
-    members = members.join(totals, "grp")
-    small, large = members.filter(F.col("total") <= limit), members.filter(F.col("total") > limit)
-    weight = small.agg(F.sum("n")).first()[0] or 0
-    bins = max(1, -(-4 * weight // limit))
-    seats = small.select(
-        "cid", "rep", "grp", F.col("cid").alias("label"), F.lit(True).alias("asks"),
-        F.lit(-1).alias("r"), F.pmod(F.xxhash64("grp"), F.lit(bins)).cast("int").alias("c"),
-    )
-    links = None
-    if not large.isEmpty():
-        large = stored(large, "large")
-        theirs = pairs.join(large.select(F.col("cid").alias("b")), "b", "left_semi")
-        links = stored(_thinned(docs, theirs, large, width, percent), "thin")
-        seats = seats.unionByName(_seats(large, links, limit))
-    seats = stored(seats, "seats")
-    # Small groups share the task of their number `c`; a large one has tasks of its own.
-    own = F.when(F.col("r") >= 0, F.col("grp")).otherwise(F.lit(0)).alias("own")
-    with_sets = sets_of(docs, seats, width).select("*", own)
-    found = with_sets.groupBy("own", "r", "c").applyInArrow(
-        lambda table: _joined(table, keys, percent), "a long, b long"
+    members = members.join(totals, "grp").withColumn("large", F.col("total") > limit)
+    weights = {r["large"]: r["n"] for r in members.groupBy("large").agg(F.sum("n").alias("n")).collect()}
+
+    def bins(large: bool) -> Column:
+        return F.lit(max(1, -(-4 * weights.get(large, 0) // limit)))
+
+    # Small groups share the task of their number; sets of large ones are dealt evenly and kept.
+    place = F.when(F.col("large"), F.pmod(F.xxhash64("cid"), bins(True))).otherwise(F.pmod(F.xxhash64("grp"), bins(False)))
+    seats = stored(
+        members.select("cid", "rep", "grp", F.col("cid").alias("label"), F.lit(True).alias("asks"), "large", place.alias("c")),
+        "seats",
     )
-    if links is not None:
-        found = found.unionByName(links)
+    first = stored(
+        sets_of(docs, seats, width).groupBy("large", "c").applyInArrow(
+            lambda table: _joined_or_kept(table, keys, percent), "a long, b long, cid long, shingles binary"
+        ),
+        "first",
+    )
+    found = first.filter(F.col("cid").isNull()).select("a", "b")
+    if weights.get(True):
+        sets = first.filter(F.col("cid").isNotNull()).select("cid", "shingles")
+        large = stored(members.filter("large").select("cid", "n", "grp", "total"), "large")
+        theirs = pairs.join(large.select(F.col("cid").alias("b")), "b", "left_semi")
+        links = stored(_thinned(sets, theirs, percent), "thin")
+        rest = _seats(large, links, limit).join(sets.hint("merge"), "cid")
+        late = rest.groupBy("grp", "r", "c").applyInArrow(lambda table: _joined(table, keys, percent), "a long, b long")
+        found = found.unionByName(links).unionByName(late)
     return components(stored(found, "links"), "linked")

@@ -99,6 +99,18 @@ def test_against_brute_force(frame, limit):
     assert sorted(map(tuple, got)) == brute(rows)
 
 
+def test_texts_move_once_whatever_the_groups(frame, monkeypatch):
+    """The sets of large groups are kept on the way, not read from all texts again."""
+    calls = []
+    sets_of = linking.sets_of
+    monkeypatch.setattr(linking, "sets_of", lambda *args: calls.append(1) or sets_of(*args))
+    rows = list(enumerate(family(60, 1) + family(30, 2) + [f"only {k} here" for k in range(9)]))
+    for limit in (None, 3000):
+        calls.clear()
+        assert sorted(map(tuple, partenum.jaccard_join(frame(rows), limit=limit).collect())) == brute(rows)
+        assert len(calls) == 1, limit
+
+
 def test_other_threshold_and_width(frame):
     rows = list(enumerate(family(40, 3) + ODD_TEXTS))
     got = partenum.jaccard_join(frame(rows), percent=80, width=3).collect()
