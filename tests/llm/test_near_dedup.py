@@ -6,7 +6,7 @@ import random
 
 from conftest import SF_DIR
 
-from recordloom.llm import near_dedup, queries
+from recordloom.llm import linking, near_dedup, queries
 
 from .conftest import ODD_TEXTS
 
@@ -97,3 +97,17 @@ def test_query_against_brute_force(spark):
     rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
     got = queries.QUERIES["op8_near_dedup"](spark, SF_DIR).collect()
     assert sorted(map(tuple, got)) == brute([tuple(r) for r in rows])
+
+
+def test_texts_move_once_whatever_the_groups(frame, monkeypatch):
+    """A small limit makes large groups, whose sets are kept on the way."""
+    calls = []
+    sets_of = linking.sets_of
+    monkeypatch.setattr(linking, "sets_of", lambda *args: calls.append(1) or sets_of(*args))
+    rows = list(enumerate(edited_copies(120, 8)))
+    want = None
+    for limit in (None, 2000):
+        calls.clear()
+        got = sorted(map(tuple, near_dedup.near_duplicates(frame(rows), limit=limit).collect()))
+        want = want or got
+        assert got == want and len(calls) == 1, limit
