@@ -14,6 +14,7 @@ from recordloom.functions import variants as vx
 # Names of grid files (AUT_eqf3.ndjson) and of index files.
 GRID_FILE = r"(?i)^([A-Z]{3})_eqf(\d+)\.ndjson$"
 INDEX_FILE = r"level=?(\d+)(?:\.index\.json|/)"
+SPLITS = 16
 
 
 def base_name(file: Column) -> Column:
@@ -99,16 +100,20 @@ def read_documents(
     """One row per JSON file: `file` path, `name`, `folder`, `body` text.
 
     Read as binary files: Spark's text source copies the Hadoop settings anew for every file.
+    Spark plans a task for a few small files, as if each had 4 MB; `SPLITS` such splits share one,
+    as long as every core has some tasks.
     """
     options = {"recursiveFileLookup": recursive, "pathGlobFilter": "*.[jJ][sS][oO][nN]"}
     docs = spark.read.format("binaryFile").options(**options).load(path)
+    splits = docs.select("path").rdd.getNumPartitions()
+    tasks = max(splits // SPLITS, 4 * spark.sparkContext.defaultParallelism)
     file = F.col("_metadata.file_path")
     return docs.select(
         file.alias("file"),
         base_name(file).alias("name"),
         folder_name(file).alias("folder"),
         F.col("content").cast("string").alias("body"),
-    )
+    ).coalesce(min(tasks, max(1, splits)))
 
 
 def read_index(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:

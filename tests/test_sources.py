@@ -75,6 +75,16 @@ def test_documents_are_written_one_a_file_in_bounded_folders(spark, tmp_path):
     assert "FileScan binaryFile" in readers.read_documents(spark, path)._jdf.queryExecution().toString()
 
 
+def test_small_documents_share_tasks(spark, tmp_path, small_splits):
+    df = spark.range(2000).withColumnRenamed("id", "x")
+    writers.write_documents(df, str(tmp_path / "docs"))
+    docs = readers.read_documents(spark, str(tmp_path / "docs"))
+    assert docs.rdd.getNumPartitions() <= 2000 // readers.SPLITS + 1
+    assert sorted(json.loads(r.body)["x"] for r in docs.collect()) == list(range(2000))
+    (tmp_path / "none").mkdir()
+    assert readers.read_documents(spark, str(tmp_path / "none")).collect() == []
+
+
 def test_index(spark, tmp_path):
     (tmp_path / "level1.index.json").write_text(json.dumps(["u1", "u2", None], indent=2))
     (tmp_path / "level7.index.json").write_text('{"no":"array"}')
