@@ -6,6 +6,11 @@ every set moves once, to the task of its group: there the buckets are formed aga
 sets, and pairs of a bucket that are not in one component yet are compared. Of a component,
 only links that join something become rows.
 
+Sets that meet by chance chain groups together, ever more of them the more sets there are. `alike`
+keeps these apart: of the members of a bucket, it pairs those whose parity bits do not rule a link out.
+Parity bits count a set's elements in each place, modulo 2; where those of two sets differ, an element
+is in one of them only. So no linked pair is ruled out, and a sketch takes about a hundredth of its set.
+
 Many small groups share a task. The sets of groups of more than `limit` shingles are stored on the way, so
 that texts are read and moved once, whatever the groups. Such a group is first thinned: each set
 is compared with one other, the first of a bucket, and what this joins needs no comparison any more.
@@ -29,6 +34,7 @@ from recordloom.llm.ship import stored
 LIMIT = 1 << 19
 GATHERED = 1 << 20
 FOREST = 1 << 17
+FEW = 48
 
 Keys = Callable[[np.ndarray], np.ndarray]
 
@@ -133,6 +139,135 @@ def stars(keyed: DataFrame, tag: str) -> DataFrame:
     return stored(met.distinct(), f"{tag}-stars")
 
 
+# --- buckets without chance meetings -------------------------------------------
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, a power of two of them (64 to 65,536), as words of 64."""
+    n = 1 << min(16, max(6, len(shingles).bit_length()))
+    odd = np.bincount((shingles & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _folded(sketches: list[np.ndarray]) -> np.ndarray:
+    """Sketches as rows of as many words as the shortest has: halves added modulo 2 are the shorter sketch."""
+    least = min(map(len, sketches))
+    rows = []
+    for bits in sketches:
+        while len(bits) > least:
+            bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+        rows.append(bits)
+    return np.stack(rows)
+
+
+def _forest_of_few(sizes: np.ndarray, rows: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """`forest` of so few sets that each is held against all at once."""
+    apart = np.bitwise_count(rows[:, None] ^ rows).sum(axis=2, dtype=np.int64)
+    near = apart * (100 + percent) <= (100 - percent) * (sizes[:, None] + sizes)
+    near &= 100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes)
+    root = list(range(len(sizes)))
+    edges = []
+    for x, y in zip(*(i.tolist() for i in np.nonzero(np.triu(near, 1))), strict=True):
+        if (low := root[x]) != (high := root[y]):
+            edges.append((x, y))
+            root = [low if r == high else r for r in root]
+    return edges
+
+
+def forest(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of places that connect all sets whose sizes and sketches allow a link, and no others."""
+    rows, n = _folded(sketches), len(sizes)
+    if n <= FEW and n * rows.size <= GATHERED:
+        return _forest_of_few(sizes, rows, percent)
+    root = np.arange(n)
+    edges: list[tuple[int, int]] = []
+
+    def meet(x: int) -> None:
+        others = np.flatnonzero(root != root[x])
+        low, high = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+        others = others[100 * low >= percent * high]
+        near = [others[:0]]
+        step = max(1, GATHERED // rows.shape[1])
+        for lo in range(0, len(others), step):
+            part = others[lo : lo + step]
+            apart = np.bitwise_count(rows[part] ^ rows[x]).sum(axis=1, dtype=np.int64)
+            near.append(part[apart * (100 + percent) <= (100 - percent) * (sizes[part] + sizes[x])])
+        roots, first = np.unique(root[found := np.concatenate(near)], return_index=True)
+        if len(roots):
+            edges.extend((x, y) for y in found[first].tolist())
+            root[np.isin(root, roots)] = root[x]
+
+    # A few sets, far from those before, join most copies. What they leave out meets all.
+    for _ in range(min(n, 4)):
+        alone = np.flatnonzero(np.bincount(root, minlength=n)[root] == 1)
+        if len(alone):
+            meet(int(alone[0]))
+    for x in np.flatnonzero(root != np.bincount(root).argmax()).tolist():
+        meet(x)
+    return edges
+
+
+def _runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """Rows sorted by the number `by`, in tables that hold all rows of a number."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch[by].to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if held and (cut or held[0][by][0].as_py() != keys[-1]):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(`bucket`, `cid`) of buckets of two or more, named by their members: buckets of the same sets are one."""
+    for table in _runs(batches, "key"):
+        keys, cids = table["key"].to_numpy(), table["cid"].to_numpy()
+        again = np.zeros(len(keys), bool)
+        again[1:] = (keys[1:] == keys[:-1]) & (cids[1:] == cids[:-1])
+        keys, cids = keys[~again], cids[~again]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(starts, len(keys)))
+        names = arrays.mix(np.add.reduceat(arrays.mix(cids.view(np.uint64)), starts)).view(np.int64)
+        shared = np.repeat(counts > 1, counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(names, counts)[shared]), pa.array(cids[shared])], ["bucket", "cid"]
+        )
+
+
+def alike(keyed: DataFrame, sketches: DataFrame, percent: int, tag: str) -> DataFrame:
+    """Pairs (`a`, `b`) that connect the sets of each bucket that may be linked, from rows (`key`, `cid`).
+
+    `sketches`: `cid`, size `n_shingles` and parity `bits` of each set.
+    """
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, "bucket"):
+            buckets, cids, sizes = (table[c].to_numpy() for c in ("bucket", "cid", "n_shingles"))
+            bits = [np.frombuffer(b, np.uint64) for b in table["bits"].to_pylist()]
+            starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])).tolist()
+            pairs = [
+                (lo + x, lo + y)
+                for lo, hi in zip(starts, [*starts[1:], len(buckets)], strict=True)
+                for x, y in forest(sizes[lo:hi], bits[lo:hi], percent)
+            ]
+            at = np.array(pairs, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(cids[at[:, 0]]), pa.array(cids[at[:, 1]])], ["a", "b"])
+
+    members = (
+        keyed.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(_members, "bucket long, cid long").distinct()
+    )
+    rows = members.join(sketches.hint("merge"), "cid").select("bucket", "cid", "n_shingles", "bits")
+    met = rows.repartition("bucket").sortWithinPartitions("bucket", "cid").mapInArrow(paired, "a long, b long")
+    return stored(met.distinct(), f"{tag}-pairs")
+
+
 # --- comparisons in a task -----------------------------------------------------
 
 
@@ -375,7 +510,7 @@ def linked_components(
 ) -> DataFrame:
     """(`node`, `label`) of every set that is linked with another one.
 
-    `docs`: `doc_id, text`; `pairs` (`a`, `b`): the first set of each bucket with its others;
+    `docs`: `doc_id, text`; `pairs` (`a`, `b`): connect the linked sets of each bucket;
     `classes`: `cid`, smallest doc_id `rep` and size `n_shingles` of each set; `keys`: the buckets of
     a set, as they led to `pairs`; `width`: words of a shingle.
     """

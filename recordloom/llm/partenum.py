@@ -13,8 +13,8 @@ needed, so that a set may leave out signatures of cells without elements, which
 hold for many sets at once: it does so unless more than `spare` of its parts have one.
 
 Of the schemes with few signatures, a band has the one whose signatures cover most elements. Sharing
-a signature only makes a candidate; the full sets decide (`linking`). No pair of linked sets is
-missed, but for the hashing of elements to 64 bits.
+a signature only makes a candidate, if the sets' parity bits do not rule a link out; the full sets
+decide (`linking`). No pair of linked sets is missed, but for the hashing of elements to 64 bits.
 
 Defined results: a null or empty text, or one of white space, has the empty set and is linked
 with nothing. Repeated rows stay rows and share a component. A row without doc_id takes
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm import arrays, linking
-from recordloom.llm.ship import ship, stored
+from recordloom.llm.ship import ship, shuffles_dropped, stored
 
 WIDTH = 4
 PERCENT = 85
@@ -160,12 +160,14 @@ def signatures(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 def _described(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, ids = [], []
+        sizes, ids, bits = [], [], []
         for shingles in arrays.shingle_sets(*arrays.text_buffer(batch["text"]), width):
             sizes.append(len(shingles))
             ids.append(linking.class_id(shingles) if len(shingles) else None)
+            bits.append(linking.parity(shingles).tobytes() if len(shingles) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], ["doc_id", "n_shingles", "cid"]
+            [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary())],
+            ["doc_id", "n_shingles", "cid", "bits"],
         )
 
 
@@ -181,28 +183,40 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), cid))], ["key", "cid"])
 
 
-def jaccard_join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, limit: int | None = None) -> DataFrame:
-    """`doc_id, n_shingles, component_id` for every document (`doc_id, text`).
-
-    Two documents are linked if their sets of `width`-word shingles have a similarity of `percent`
-    or more. `limit`: see `linking`.
-    """
-    if not 0 < percent <= 100:
-        raise ValueError(f"the threshold is a percentage above 0, up to 100; got {percent}")
-    ship(docs.sparkSession)
+def _labelled(docs: DataFrame, percent: int, width: int, limit: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents' sets, their classes, and the component of each class that has links."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = stored(
-        rows.mapInArrow(partial(_described, width=width), "doc_id long, n_shingles long, cid long"), "described"
+        rows.mapInArrow(partial(_described, width=width), "doc_id long, n_shingles long, cid long, bits binary"),
+        "described",
     )
     classes = (
         described.filter(F.col("cid").isNotNull()).groupBy("cid")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"))
     )
     keyed = rows.select("text").mapInArrow(partial(_signed, width=width, percent=percent), "key long, cid long")
-    pairs = linking.stars(keyed, "join")
+    sketches = (
+        described.filter(F.col("cid").isNotNull()).groupBy("cid")
+        .agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
+    )
+    pairs = linking.alike(keyed, sketches, percent, "join")
     labels = linking.linked_components(
         rows, pairs, classes, partial(signatures, percent=percent), width, percent, limit
     )
+    return described, classes, labels
+
+
+def jaccard_join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, limit: int | None = None) -> DataFrame:
+    """`doc_id, n_shingles, component_id` for every document (`doc_id, text`).
+
+    Two documents are linked if their sets of `width`-word shingles have a similarity of `percent`
+    or more. `limit`: see `linking`.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"the threshold is a percentage above 0, up to 100; got {percent}")
+    ship(docs.sparkSession)
+    with shuffles_dropped(docs.sparkSession):
+        described, classes, labels = _labelled(docs, percent, width, limit)
     placed = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cid", "rep", F.coalesce("label", "cid").alias("label")
     )

@@ -53,3 +53,18 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for a stored table in here leaves the disk with the end of its query.
+
+    Otherwise it stays until the driver happens to collect its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

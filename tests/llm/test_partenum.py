@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 
@@ -155,3 +156,88 @@ def test_query_against_brute_force(spark):
     got = queries.QUERIES["op12_partenum"](spark, SF_DIR).collect()
     assert sorted(map(tuple, got)) == brute([tuple(r) for r in rows])
     assert arrays.SHINGLE == 5 and partenum.WIDTH == 4
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95, 100])
+def test_parity_bits_rule_no_link_out(percent):
+    """Linked sets are in one tree whatever their sizes, far ones are not."""
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for _ in range(300):
+        n = int(rng.integers(1, 140)) if rng.random() < 0.9 else int(rng.integers(140, 9000))
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        drop, add = (int(rng.integers(0, int(n * (1 - percent / 100)) + 2)) for _ in range(2))
+        b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**64, add, dtype=np.uint64)]))
+        far = np.unique(rng.integers(0, 2**64, len(a) + 40, dtype=np.uint64))
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+            linked += 1
+            sets = [far, a, b]
+            sizes = np.array([len(s) for s in sets])
+            edges = {tuple(sorted(e)) for e in linking.forest(sizes, [linking.parity(s) for s in sets], percent)}
+            assert (1, 2) in edges or {(0, 1), (0, 2)} <= edges
+            assert edges == {(1, 2)} or percent < 80 or n < 60
+    assert linked > 40
+
+
+@pytest.mark.parametrize("members", [3, 70])
+def test_trees_connect_all_that_may_be_linked(members):
+    """Chains of sets, each one near the next: one tree for each chain, however they are mixed."""
+    rng = np.random.default_rng(members)
+    sets, chain = [], []
+    for k in range(3):
+        base = rng.integers(0, 2**64, 400 + 6 * members, dtype=np.uint64)
+        sets += [np.unique(base[i : i + 400]) for i in range(0, members * 6, 6)]
+        chain += [k] * members
+    order = rng.permutation(len(sets))
+    sets, chain = [sets[i] for i in order], np.array(chain)[order]
+    edges = linking.forest(np.array([len(s) for s in sets]), [linking.parity(s) for s in sets], 85)
+    assert len(edges) <= len(sets) - 3 and all(chain[x] == chain[y] for x, y in edges)
+    low = np.arange(len(sets))
+    for x, y in edges:
+        low[low == low[x]] = low[y]
+    assert len(np.unique(low)) == 3
+
+
+def test_runs_stay_whole_over_batches():
+    keys = np.repeat(np.arange(8), [1, 5, 2, 9, 1, 1, 7, 3])
+    batches = [pa.record_batch({"key": pa.array(keys[lo : lo + 3])}) for lo in range(0, len(keys), 3)]
+    found = [t["key"].to_numpy() for t in linking._runs(iter(batches), "key")]
+    assert np.concatenate(found).tolist() == keys.tolist()
+    assert all(a[-1] != b[0] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_chance_meetings_make_no_groups(frame, monkeypatch):
+    """Texts with a long passage in common share signatures; without a link they are in no group."""
+    moved = []
+    linked_components = linking.linked_components
+
+    def asked(docs, pairs, *args):
+        moved.extend(tuple(p) for p in pairs.collect())
+        return linked_components(docs, pairs, *args)
+
+    monkeypatch.setattr(linking, "linked_components", asked)
+    passage = " ".join(f"c{i}" for i in range(40))
+    texts = [passage + "".join(f" w{k}x{i}" for i in range(30 + k % 9)) for k in range(60)]
+    sets = list(arrays.shingle_sets(*arrays.text_buffer(pa.array(texts)), partenum.WIDTH))
+    keys = [set(partenum.signatures(s).tolist()) for s in sets]
+    assert sum(bool(a & b) for i, a in enumerate(keys) for b in keys[:i]) > 100
+    rows = list(enumerate([*texts, texts[7].replace("w7x29", "other"), *family(20, 5)]))
+    assert sorted(map(tuple, partenum.jaccard_join(frame(rows)).collect())) == brute(rows)
+    far = {linking.class_id(s) for s in sets}
+    assert sum(a in far or b in far for a, b in moved) <= 1
+
+
+def test_shuffled_signatures_do_not_stay(frame, spark, monkeypatch):
+    """Signatures are far more than the texts; they are gone when the links are known."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name), []
+    linked_components = linking.linked_components
+
+    def asked(*args):
+        seen.append(spark.conf.get(name))
+        return linked_components(*args)
+
+    monkeypatch.setattr(linking, "linked_components", asked)
+    partenum.jaccard_join(frame([(1, "a b c d e f"), (2, "a b c d e f g")]))
+    assert seen == ["true"] and spark.conf.get(name) == before
