@@ -9,7 +9,7 @@ only links that join something become rows.
 Sets that meet by chance chain groups together, ever more of them the more sets there are. `alike`
 keeps these apart: of the members of a bucket, it pairs those whose parity bits do not rule a link out.
 Parity bits count a set's elements in each place, modulo 2; where those of two sets differ, an element
-is in one of them only. So no linked pair is ruled out, and a sketch takes about a hundredth of its set.
+is in one of them only. So no linked pair is ruled out, and a sketch takes at most a thirtieth of a large set.
 
 Many small groups share a task. The sets of groups of more than `limit` shingles are stored on the way, so
 that texts are read and moved once, whatever the groups. Such a group is first thinned: each set
